@@ -4,18 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cdclake.llm.bpe import encode_decode
 from cdclake.llm.common import documents
 from cdclake.llm.exact_dedup import exact_dedup
 
 
+def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_bpe_tree": op7_bpe_tree,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
