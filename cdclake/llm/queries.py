@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from cdclake.llm.bpe import encode_decode
 from cdclake.llm.common import documents
 from cdclake.llm.exact_dedup import exact_dedup
+from cdclake.llm.packing import pack_best_fit
+from cdclake.llm.tokens import token_pieces
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack_best_fit(narrow, 1024)
 
 
 def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +37,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_best_fit_packing": op3_best_fit_packing,
         "op7_bpe_tree": op7_bpe_tree,
         "op9_exact_dedup": op9_exact_dedup,
     }
