@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.llm.bpe import encode_decode
-from cdclake.llm.common import documents
+from cdclake.llm.common import documents, new_path
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.tokens import token_pieces
+from cdclake.llm.training_order import write_shards
+
+
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_shards(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), new_path(spark, "shards"))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +42,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_training_order": op2_training_order,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op7_bpe_tree": op7_bpe_tree,
         "op9_exact_dedup": op9_exact_dedup,

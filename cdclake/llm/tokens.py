@@ -60,12 +60,13 @@ class ByteBPE:
                     yield b"".join(map(self.seen.__getitem__, own))
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """One row for each piece of each row of docs: doc_id, piece int, start long, length long, ids binary.
 
     A document is its text's ids (null text: none) and end_id. Documents longer than capacity are cut into pieces of
-    capacity ids, of which the first may be shorter. ids are little-endian unsigned 32-bit. Ids of documents may be
-    null or repeat, each row stands for itself. Other columns are not read.
+    capacity ids, of which the first may be shorter. ids are little-endian, unsigned, of width bytes (4 or 2; an id
+    too large for 2 fails the job). Ids of documents may be null or repeat, each row stands for itself. Other columns
+    are not read.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -78,10 +79,15 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col:
                 for k, own in enumerate(bpe.encode(b.column(1).to_pylist())):
                     own += end
                     n = len(own) // 4
+                    if width == 2:
+                        wide = np.frombuffer(own, "<u4")
+                        if wide.max() > 0xFFFF:
+                            raise ValueError(f"id {wide.max()} takes more than 2 bytes")
+                        own = wide.astype("<u2").tobytes()
                     first = (n - 1) % capacity + 1
                     for j in range(1 + (n - first) // capacity):
                         a, z = (0, first) if j == 0 else (first + (j - 1) * capacity, first + j * capacity)
-                        row.append(k), piece.append(j), start.append(a), length.append(z - a), ids.append(own[4 * a : 4 * z])
+                        row.append(k), piece.append(j), start.append(a), length.append(z - a), ids.append(own[width * a : width * z])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(row, pa.int32())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
                     ["doc_id", "piece", "start", "length", "ids"],
