@@ -8,14 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdclake.llm import language_id, toxicity
 from cdclake.llm.bpe import encode_decode
-from cdclake.llm.common import documents, new_path
+from cdclake.llm.common import documents, id_crc, new_path
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.tokens import token_pieces
 from cdclake.llm.training_order import write_shards
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = id_crc(F.col("doc_id")) % 5 == 0
+    model = language_id.fit(docs.where(~held_out), "text", "lang", F.col("doc_id"))
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_shards(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), new_path(spark, "shards"))
 
@@ -36,16 +44,26 @@ def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = id_crc(F.col("doc_id")) % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held_out))
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_training_order": op2_training_order,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op7_bpe_tree": op7_bpe_tree,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 
