@@ -13,6 +13,7 @@ from cdclake.llm.bpe import encode_decode
 from cdclake.llm.common import documents, id_crc, new_path
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
+from cdclake.llm.jaccard_join import near_duplicates
 from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.tokens import token_pieces
 from cdclake.llm.training_order import write_shards
@@ -35,6 +36,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(narrow, 1024)
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op5_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = edited_comparison(documents(spark, sf_dir))
     return out.withColumn("edited", F.sha2(F.col("edited").cast("binary"), 256)).withColumnRenamed("edited", "edited_sha256")
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_training_order": op2_training_order,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_chosen_path": op4_chosen_path,
         "op5_one_permutation": op5_one_permutation,
         "op7_bpe_tree": op7_bpe_tree,
         "op9_exact_dedup": op9_exact_dedup,
