@@ -15,6 +15,7 @@ from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
 from cdclake.llm.jaccard_join import near_duplicates
 from cdclake.llm.packing import pack_best_fit
+from cdclake.llm.recurrent_lm import score_texts
 from cdclake.llm.tokens import token_pieces
 from cdclake.llm.training_order import write_shards
 
@@ -55,6 +56,12 @@ def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", (id_crc(F.col("doc_id")) % 7 == 2).alias("held_out"))
+    scored = score_texts(docs, ~F.col("held_out"))
+    return scored.select("doc_id", (id_crc(F.col("doc_id")) % 7 == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = id_crc(F.col("doc_id")) % 5 == 0
@@ -75,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chosen_path": op4_chosen_path,
         "op5_one_permutation": op5_one_permutation,
         "op7_bpe_tree": op7_bpe_tree,
+        "op8_recurrent_lm": op8_recurrent_lm,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_toxicity": op10_toxicity,
     }
