@@ -25,5 +25,6 @@ def wall_clock(zoned: Column) -> Column:
 
 
 def update_ms(at: Column) -> Column:
-    """An update time in ms; 0 where there is none."""
-    return F.coalesce(F.unix_millis(at.cast("timestamp")), F.lit(0).cast("bigint"))
+    """An update time in ms since 1970 by the wall clock; 0 where there is none."""
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return F.coalesce(F.timestamp_diff("MILLISECOND", epoch, at.cast("timestamp_ntz")), F.lit(0).cast("bigint"))
