@@ -58,6 +58,18 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Hashes of the runs of five words, ascending and distinct; a text of fewer words is one run, an empty one has none."""
+    w = word_hashes(text)
+    if not len(w):
+        return w
+    n = max(1, len(w) - WORDS + 1)
+    h = np.zeros(n, np.uint64)
+    for k in range(min(WORDS, len(w))):
+        h = h * MIX1 + w[k : k + n]
+    return np.unique(mixed(h))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word between ASCII white space."""
     b = np.frombuffer((text or "").encode(), np.uint8)
     word = (b != 32) & ((b < 9) | (b > 13))
     edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False]))))
@@ -66,12 +78,7 @@ def shingle_set(text: str | None) -> np.ndarray:
     start, stop = edge[::2], edge[1::2]
     up, down = powers(len(b) + 1)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[b] * up[: len(b)], dtype=np.uint64)))
-    w = mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
-    n = max(1, len(w) - WORDS + 1)
-    h = np.zeros(n, np.uint64)
-    for k in range(min(WORDS, len(w))):
-        h = h * MIX1 + w[k : k + n]
-    return np.unique(mixed(h))
+    return mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -241,14 +248,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, class_id, n_links, set_id.
+    """One row for each row of docs: doc_id, class_id, n_links, set_id, kept, text_md5.
 
     n_links: other rows whose shingle set has a likeness of 0.8 or more, those with the same set included. class_id:
     the least doc_id of the rows connected through links (null if they have none but null). set_id: the least doc_id
-    with the same set. Texts without words (null too) have the empty set, alike among themselves only. Repeated rows
+    with the same set. kept: marks one row of each class, of its least doc_id (rows that repeat id and text are marked
+    alike); text_md5, of the text, tells rows apart that share an id. Texts without words (null too) have the empty set, alike among themselves only. Repeated rows
     count each. An empty table gives an empty result. Other columns are not read.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary")).alias("text_md5"))
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,9 +268,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 h = shingle_set(text)
                 key.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest()), n.append(len(h))
                 own.append(sketch(h).tobytes() if len(h) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(own, pa.binary())], ["doc_id", "key", "n", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(own, pa.binary())], ["doc_id", "text_md5", "key", "n", "sketch"])
 
-    rows = materialise(base.mapInArrow(summarise, f"doc_id {kind}, key binary, n long, sketch binary"), "join-rows")
+    rows = materialise(base.mapInArrow(summarise, f"doc_id {kind}, text_md5 string, key binary, n long, sketch binary"), "join-rows")
     sets = rows.groupBy("key").agg(F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("members"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sets = materialise(sets.withColumn("sid", F.monotonically_increasing_id()), "join-sets")
 
@@ -336,6 +344,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(found.select("sid", "root"))
     number = found.groupBy("sid").agg(F.sum("links").alias("links"))
     named = sets.select("sid", "key", "set_id", "members").join(number, "sid", "left").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    least = named.groupBy("label").agg(F.min("set_id").alias("class_id"))
-    named = materialise(named.join(least, "label").select("key", "set_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links")), "join-named")
-    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "n_links", "set_id")
+    first_of = named.groupBy("label").agg(F.min(F.struct(F.col("set_id").isNull().alias("none"), "set_id", "sid")).alias("first"))
+    named = named.join(first_of, "label").select("key", "set_id", F.col("first.set_id").alias("class_id"), (F.col("first.sid") == F.col("sid")).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
+    # of rows with the leading set and the least id, one text stays
+    texts = rows.groupBy("key", "doc_id").agg(F.min("text_md5").alias("least_md5"))
+    named = named.join(texts.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & F.col("set_id").eqNullSafe(F.col("doc_id")) & F.col("leads"), "left")
+    named = materialise(named.select("key", "set_id", "class_id", "leads", "n_links", "least_md5"), "join-named")
+    kept = F.col("leads") & F.col("doc_id").eqNullSafe(F.col("set_id")) & (F.col("text_md5") == F.col("least_md5"))
+    return rows.select("doc_id", "text_md5", "key").join(named, "key").select("doc_id", "class_id", "n_links", "set_id", kept.alias("kept"), "text_md5")

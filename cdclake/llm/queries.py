@@ -13,6 +13,7 @@ from cdclake.llm.bpe import encode_decode
 from cdclake.llm.common import documents, id_crc, new_path
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
+from cdclake.llm.importance import resample
 from cdclake.llm.jaccard_join import near_duplicates
 from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.recurrent_lm import score_texts
@@ -38,7 +39,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("text_md5")
 
 
 def op5_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,13 @@ def op5_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("edited", F.sha2(F.col("edited").cast("binary"), 256)).withColumnRenamed("edited", "edited_sha256")
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share that is kept is the share of good documents among the labelled ones."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality is not null")
+    share = labels.agg(F.avg("quality")).first()[0]
+    return resample(documents(spark, sf_dir), labels.where("quality = 1").select("doc_id"), 1.0 if share is None else share)
+
+
 def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return out.select(
@@ -81,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_chosen_path": op4_chosen_path,
         "op5_one_permutation": op5_one_permutation,
+        "op6_importance_resampling": op6_importance_resampling,
         "op7_bpe_tree": op7_bpe_tree,
         "op8_recurrent_lm": op8_recurrent_lm,
         "op9_exact_dedup": op9_exact_dedup,
