@@ -29,6 +29,6 @@ def parse_partition_name(name: Column) -> Column:
     return F.str_to_map(name, F.lit("/"), F.lit("="))
 
 
-def partition_predicate(partitions: Iterable[dict[str, int]]) -> str:
+def partition_predicate(partitions: Iterable[dict[str, int | None]]) -> str:
     """`(p_y=.. and p_m=..) or (..)`, for partition pruning; `false` for no partition."""
-    return " or ".join("(" + " and ".join(f"{k}={int(v)}" for k, v in p.items()) + ")" for p in partitions) or "false"
+    return " or ".join("(" + " and ".join(f"{k} is null" if v is None else f"{k}={int(v)}" for k, v in p.items()) + ")" for p in partitions) or "false"
