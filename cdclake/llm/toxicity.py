@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cdclake.llm.common import materialise
 from cdclake.llm.ngrams import Presence
 
 SIZES, BITS = (4, 5, 6), 20
 #: The sample: about so many labelled rows of each label.
-SAMPLE_EACH = 2500
+SAMPLE_EACH = 1500
 #: Added to counts; L2; rate of adaptive steps; passes over the sample.
 SMOOTH, PENALTY, RATE, PASSES = 1.0, 1e-3, 0.3, 6
 
@@ -80,11 +81,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = [occur(t).astype("<u4").tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), pa.array(found, pa.binary())], ["y", "draw", "at"])
 
-    drawn = texts.select("id", "text", "y", "draw").mapInArrow(features, "y int, draw long, at binary").collect()
-    drawn.sort(key=lambda r: (r["draw"], r["y"], r["at"]))
-    y = np.array([r["y"] for r in drawn], int)
+    sample = materialise(texts.select("id", "text", "y", "draw").mapInArrow(features, "y int, draw long, at binary"), "toxicity-sample", "zstd")
+    drawn = [(r["draw"], r["y"], r["at"]) for r in sample.toLocalIterator()]  # a file at a time: the driver holds the sample once
+    drawn.sort()
+    y = np.array([r[1] for r in drawn], int)
     weight = np.array([1 / limits[k] for k in y])
-    return learn([np.frombuffer(r["at"], "<u4") for r in drawn], y, weight)
+    return learn([np.frombuffer(r[2], "<u4") for r in drawn], y, weight)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
