@@ -111,5 +111,25 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+  UNION ALL SELECT a.doc_id, b.doc_id FROM s a JOIN s b ON len(a.s) = 0 AND len(b.s) = 0 AND a.doc_id <> b.doc_id
+), r AS (SELECT doc_id, doc_id AS to_id FROM documents UNION SELECT r.doc_id, p.b FROM r JOIN p ON p.a = r.to_id),
+c AS (SELECT doc_id, min(to_id) AS class_id FROM r GROUP BY doc_id),
+n AS (SELECT a AS doc_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, min(doc_id) OVER (PARTITION BY s) AS set_id, doc_id = class_id AS kept
+FROM s JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL}
