@@ -1,63 +1,69 @@
-"""Token ids of whole texts by a byte-level BPE file, through a cache of segments."""
+"""Token ids of whole texts by a byte-level BPE file."""
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-#: White space and what follows it. The splitter never joins a character with white space after it, so encodings of segments add up.
-SEGMENT = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+\Z")
-#: Other white space can share a run with ASCII white space: such texts are encoded in one piece.
-OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
-CACHE = 300_000
+#: How byte-level tokenizers of this family split text (a fixed value of the format).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters on whose classes all versions of Unicode agree. Other texts go to the library that the file is for.
+SETTLED = re.compile("[\x00-\u024f\u0370-\u0377\u0391-\u03a1\u03a3-\u03ff\u0410-\u044f\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
+#: Byte-level files write a byte that isn't a printable Latin-1 character as one from U+0100 on, in order.
+_odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_OF = {chr(b): b for b in range(256) if b not in _odd} | {chr(256 + k): b for k, b in enumerate(_odd)}
 
 
 class ByteBPE:
-    """encode() gives ids as little-endian unsigned 32-bit bytes."""
+    """encode() gives ids as little-endian unsigned 32-bit bytes, those of the tokenizers library with the same file.
 
-    def __init__(self, path: str, cache: int = CACHE):
+    Where the file's merges are in the order of their ids, its vocabulary is a table of ranks, which a faster encoder
+    takes; else, and for texts with unsettled characters, the library itself encodes.
+    """
+
+    def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.most = cache
-        self.seen: dict[bytes, bytes] = {}
-
-    def fill(self, segments: set[bytes]) -> None:
-        if len(self.seen) + len(segments) > self.most:
-            self.seen.clear()
-        parts = {s: self.parts(s) for s in segments if s not in self.seen}
-        new = [p for p in {p for own in parts.values() for p in own} if p not in self.seen]
-        for p, e in zip(new, self.whole.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-            self.seen[p] = np.array(e.ids, "<u4").tobytes()
-        for s, own in parts.items():
-            if own[0] != s:
-                self.seen[s] = b"".join(map(self.seen.__getitem__, own))
+        self.fast = self.ranked(json.load(open(path, encoding="utf-8")))
 
     @staticmethod
-    def parts(segment: bytes) -> list[bytes]:
-        """A closing mark stands apart from the ASCII letter or digit before it, as the splitter has it."""
-        return [segment[:-1], segment[-1:]] if segment[-1:] in b".,!?;:" and segment[-2:-1].isalnum() else [segment]
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [None if not t or OTHER_SPACE.search(t) else SEGMENT.findall(t.encode()) for t in texts]
-        self.fill({s for own in split if own for s in own if s not in self.seen})
-        for text, own in zip(texts, split, strict=True):
-            if not text:
-                yield b""
-            elif own is None:
-                yield np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                try:
-                    yield b"".join(map(self.seen.__getitem__, own))
-                except KeyError:  # the cache was emptied
-                    self.fill(set(own))
-                    yield b"".join(map(self.seen.__getitem__, own))
+    def ranked(spec: dict) -> tiktoken.Encoding | None:
+        model, splitter, added = spec["model"], spec["pre_tokenizer"], spec["added_tokens"]
+        vocab, merges = model["vocab"], model["merges"]
+        order = [vocab["".join(m)] for m in merges]
+        plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        plain &= spec["normalizer"] is None and splitter == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": splitter.get("trim_offsets"), "use_regex": True}
+        plain &= not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        if not plain or order != sorted(order) or len(vocab) != 256 + len(merges) or order[0] != 256:
+            return None
+        ranks = {bytes(map(BYTE_OF.__getitem__, t)): i for t, i in vocab.items()}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={t["content"]: t["id"] for t in added})
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.fast is not None and SETTLED.fullmatch(text):
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+_made: dict[str, ByteBPE] = {}
+
+
+def byte_bpe(path: str) -> ByteBPE:
+    """This worker's tokenizer, which its tasks share."""
+    if path not in _made:
+        _made[path] = ByteBPE(path)
+    return _made[path]
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
@@ -71,12 +77,12 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path)
+        bpe = byte_bpe(path)
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
                 row, piece, start, length, ids = [], [], [], [], []
-                for k, own in enumerate(bpe.encode(b.column(1).to_pylist())):
+                for k, own in enumerate(map(bpe.encode, b.column(1).to_pylist())):
                     own += end
                     n = len(own) // 4
                     if width == 2:
