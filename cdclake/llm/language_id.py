@@ -139,7 +139,7 @@ def fit(train: DataFrame, text_col: str, lang_col: str, key: Column) -> Language
                 yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([a.astype("<u2").tobytes() for a, _ in found], pa.binary()), pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], ["lang", "draw", "at", "x"])
 
     drawn = sample.mapInArrow(vectors, "lang string, draw long, at binary, x binary").collect()  # about SAMPLE_EACH rows of each language
-    drawn = sorted(((r["draw"], languages.index(r["lang"]), np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(np.float64)) for r in drawn), key=lambda r: (r[0], r[1], len(r[2])))
+    drawn = sorted(((r["draw"], languages.index(r["lang"]), np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f4")) for r in drawn), key=lambda r: (r[0], r[1], len(r[2])))
     learned = [(a, x, y) for k, (_, y, a, x) in enumerate(drawn) if k % CALIBRATE]
     kept = [(a, x, y) for k, (_, y, a, x) in enumerate(drawn) if k % CALIBRATE == 0]
     weights, bias = learn(learned, len(languages))
