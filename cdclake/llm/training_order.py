@@ -59,19 +59,19 @@ def permute(index: np.ndarray, total: int, key: int, inverse: bool = False) -> n
     return x.astype(np.int64)
 
 
-def write_shards(docs: DataFrame, tokenizer_path: str, out: str, *, sequence_ids: int = 256, end_id: int = 50256, key: int = 1, shard_rows: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_shards(docs: DataFrame, tokenizer_path: str, out: str, *, sequence_ids: int = 256, end_id: int = 50256, key: int = 1, shard_rows: int = 1 << 16, waves: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write every sequence of docs to its shard under out; return where each one is.
 
     A sequence is a piece of a document (see token_pieces) of at most sequence_ids ids. Returns one row for each:
     doc_id, piece, start, length, ids_crc32 (of the 16-bit ids), slot, shard, byte_offset; slots are 0 to the number
-    of sequences less 1. Null text is one sequence of the end id; an empty table writes no shard. Ids of documents
+    of sequences less 1. Shards are written in waves, so that at any time the shuffle takes the disk of one. Null text is one sequence of the end id; an empty table writes no shard. Ids of documents
     may be null or repeat: equal sequences share their row, which of them gets which slot doesn't matter. Other
     columns are not read.
     """
     pieces = token_pieces(docs, tokenizer_path, sequence_ids, end_id, id_col, text_col, width=2)
     # numbered by (writing task, place in its output), which the stored table fixes: no shuffle to give out indices
     pieces = pieces.select("*", F.crc32("ids").alias("ids_crc32"), F.monotonically_increasing_id().alias("_to_id"))
-    stored = materialise(pieces, "order-sequences")
+    stored = materialise(pieces, "order-sequences", "zstd")
     task = F.shiftrightunsigned("_to_id", 33).alias("_to_task")
     sizes = stored.groupBy(task).agg(F.count(F.lit(1)).alias("rows"))  # a row for each task
     before = (F.sum("rows").over(Window.orderBy("_to_task")) - F.col("rows")).alias("_to_before")
@@ -93,7 +93,11 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out: str, *, sequence_ids
     shards = -(-total // shard_rows)
     if shards:
         rows = placed(["length", "ids"]).select("shard", "slot", record.cast("string").alias("record"))
-        rows.repartition(shards, "shard").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").option("maxRecordsPerFile", 0).text(out)
+        each = -(-shards // waves)
+        for first in range(0, shards, each):
+            wave = rows.where(F.col("shard").between(first, first + each - 1)).repartition(each, "shard").sortWithinPartitions("shard", "slot")
+            wave.drop("slot").write.mode("append").partitionBy("shard").option("maxRecordsPerFile", 0).text(out)
+            docs.sparkSession.sparkContext._jvm.System.gc()  # lets go of the wave's shuffle files
     index = placed(["doc_id", "piece", "start", "length", "ids_crc32"])
     return index.withColumn("byte_offset", F.col("slot") % shard_rows * (2 * sequence_ids + 3))
 
