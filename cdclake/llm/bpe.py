@@ -12,17 +12,25 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, models
+from tokenizers import Encoding, Tokenizer, models
 
 #: Chunks of at least so many characters are encoded by tree concatenation, from leaves of so many characters.
 LONG, LEAF = 512, 128
-#: Entries that a worker's cache holds; a full cache is emptied.
+#: Entries above which a worker's cache keeps only what the next batch needs.
 CACHE = 300_000
+MARKS = {b".", b",", b"!", b"?", b";", b":"}
+#: Up to here, letters compose and change case one by one.
+LATIN = "\u024f"
+#: Byte-level tokenizers write a byte that isn't a printable Latin-1 character as one from U+0100 on, in order.
+_odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTES = {b: chr(256 + k) for k, b in enumerate(_odd)}
 
 
 class WordBPE:
@@ -43,34 +51,49 @@ class WordBPE:
         self.special = re.compile("(" + "|".join(re.escape(t["content"]) for t in spec["added_tokens"]) + ")") if spec["added_tokens"] else None
         self.lower = '"Lowercase"' in json.dumps(spec["normalizer"])
         self.long, self.leaf, self.most = long, leaf, cache
-        self.seen: dict[bytes, tuple[list[int], str]] = {}
-
-    def encode_chunks(self, chunks: set[bytes]) -> None:
-        """Put what is missing into the cache: token ids and decoded text of each chunk."""
-        if len(self.seen) + len(chunks) > self.most:
-            self.seen.clear()
-        parts = {c: self.parts(c) for c in chunks if c not in self.seen}
-        new = [p for p in {p for own in parts.values() for p in own} if p not in self.seen]
-        short = [p for p in new if len(p) < self.long]
-        for p, e in zip(short, self.whole.encode_batch_fast([p.decode() for p in short], add_special_tokens=False), strict=True):
-            self.seen[p] = (ids := e.ids, self.decoded(ids))
+        self.ids: dict[bytes, bytes] = {}  # of each chunk seen, as 32-bit numbers
+        self.text: dict[bytes, str] = {}
+        self.blank: set[bytes] = set()  # chunks without tokens
+
+    def remember(self, chunks: set[bytes]) -> None:
+        """Encode the chunks, none of which is in the cache."""
+        parts = {c: self.parts(c) for c in chunks}
+        new = {p for own in parts.values() for p in own} - self.ids.keys()
+        words = {p: t for p, t in ((p, p.decode()) for p in new) if len(p) < self.long and self.lower and t.isalpha() and max(t) <= LATIN and t == t.lower()}
+        mixed = {p: t for p, t in ((p, p.decode()) for p in new) if len(p) < self.long and p not in words}
+        # a word of plain letters is one unsplit word already: past the normaliser and the splitter
+        self.put(words, self.ending.encode_batch_fast([t.encode().decode("latin-1").translate(BYTES) for t in words.values()], add_special_tokens=False))
+        self.put(mixed, self.whole.encode_batch_fast(list(mixed.values()), add_special_tokens=False))
         for p in new:
             if len(p) >= self.long:
-                self.seen[p] = (ids := self.encode_long(p.decode()), self.decoded(ids))
+                self.put_ids(p, self.encode_long(p.decode()))
         for c, own in parts.items():
             if own[0] != c:
-                found = [self.seen[p] for p in own]
-                self.seen[c] = (sum((ids for ids, _ in found), []), " ".join(text for _, text in found))
+                self.ids[c] = b"".join(map(self.ids.__getitem__, own))
+                self.text[c] = " ".join(map(self.text.__getitem__, own))
+
+    def put(self, parts: Iterable[bytes], encoded: list[Encoding]) -> None:
+        for p, e in zip(parts, encoded, strict=True):
+            self.put_ids(p, e.ids)
+
+    def put_ids(self, part: bytes, ids: list[int]) -> None:
+        self.ids[part] = array("i", ids).tobytes()
+        self.text[part] = " ".join(map(self.names.__getitem__, ids))  # no decoder is set: tokens joined by spaces
+        if not ids:
+            self.blank.add(part)
 
     def parts(self, chunk: bytes) -> list[bytes]:
         """The chunk in lower case, a closing mark apart from the letter or digit before it: more chunks share their parts."""
-        if not (self.lower and chunk.isascii()) or b"<|" in chunk:  # a special token, whose case counts
+        if not self.lower or b"<|" in chunk:  # a special token, whose case counts
             return [chunk]
-        chunk = chunk.lower()
-        return [chunk[:-1], chunk[-1:]] if chunk[-1:] in b".,!?;:" and chunk[-2:-1].isalnum() else [chunk]
-
-    def decoded(self, ids: list[int]) -> str:
-        return " ".join(map(self.names.__getitem__, ids))  # no decoder is set: tokens joined by spaces
+        if chunk.isascii():
+            chunk = chunk.lower()
+            return [chunk[:-1], chunk[-1:]] if chunk[-1:] in MARKS and chunk[-2:-1].isalnum() else [chunk]
+        text = chunk.decode()
+        if max(text) > LATIN or "\u0130" in text:  # the one letter whose lower case is two characters
+            return [chunk]
+        text = text.lower()
+        return [text[:-1].encode(), text[-1:].encode()] if text[-1:].encode() in MARKS and text[-2:-1].isalnum() else [text.encode()]
 
     def encode_long(self, text: str) -> list[int]:
         out: list[int] = []
@@ -104,18 +127,28 @@ class WordBPE:
                 return left[:-a] + tokens + right[b:]
             size *= 2
 
-    def encode_texts(self, texts: list[str | None]) -> Iterator[tuple[list[int], str]]:
-        """Token ids and decoded text of each text."""
+    def encode_texts(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
+        """Token ids, as 32-bit numbers, and decoded text of each text."""
         split = [(t or "").encode().split() for t in texts]
-        self.encode_chunks({c for chunks in split for c in chunks if c not in self.seen})
+        now = set().union(*split)
+        if len(self.ids) > self.most:
+            kept = now & self.ids.keys()
+            self.ids, self.text, self.blank = {c: self.ids[c] for c in kept}, {c: self.text[c] for c in kept}, self.blank & kept
+        self.remember(now - self.ids.keys())
         for chunks in split:
-            if not all(c in self.seen for c in chunks):  # the cache was emptied
-                self.encode_chunks(set(chunks))
-            found = [self.seen[c] for c in chunks]
-            ids: list[int] = []
-            for own, _ in found:
-                ids += own
-            yield ids, " ".join([s for _, s in found if s])
+            if self.blank:
+                chunks = [c for c in chunks if c not in self.blank]
+            yield b"".join(map(self.ids.__getitem__, chunks)), " ".join(map(self.text.__getitem__, chunks))
+
+
+_made: dict[str, WordBPE] = {}
+
+
+def word_bpe(path: str) -> WordBPE:
+    """This worker's tokenizer, whose cache the tasks share."""
+    if path not in _made:
+        _made[path] = WordBPE(path)
+    return _made[path]
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,12 +160,14 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBPE(path)
+        bpe = word_bpe(path)
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
                 pairs = list(bpe.encode_texts(b.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.string())], ["doc_id", "ids", "decoded"])
+                ends = np.cumsum([0, *(len(p[0]) // 4 for p in pairs)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(p[0] for p in pairs), np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([p[1] for p in pairs], pa.string())], ["doc_id", "ids", "decoded"])
 
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return base.mapInArrow(run, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
