@@ -6,7 +6,7 @@ predicts too; MID more words (seen twice at least), and all the rest (the tail,
 which counts decide. Every token so has a probability, and they sum to one: that of its class given the state, times
 that of the word in its class.
 
-Training runs truncated backpropagation through time over a fixed share of the training texts, in ROUNDS; in each,
+Training runs truncated backpropagation through time once over all training texts, in ROUNDS; in each,
 every partition starts from the same weights and the next round from their average. Texts lie one after the other in parallel
 streams; the state is carried from window to window over the whole text in scoring, over segments in training, so
 that a very long text doesn't hold up its task.
@@ -30,8 +30,8 @@ SIGNS = 8
 CLASSES = HEAD // CLASS + 2 * SIGNS
 HIDDEN, STREAMS, WINDOW, SCORE_WINDOW = 24, 256, 16, 32
 RATE = 0.15
-#: Shares of the training texts that the rounds learn weights from; a share of the input at any size. Counts use all of them.
-ROUNDS = (1 / 32, 2 / 32, 4 / 32)
+#: Shares of the training texts that the rounds learn weights from; they sum to 1, so that each text gives gradients once.
+ROUNDS = (1 / 32, 2 / 32, 4 / 32, 8 / 32, 17 / 32)
 #: Texts that a task lays in streams at a time; in training, longer ones lie there in segments of so many tokens.
 TEXTS, SEGMENT = 8192, 1024
 #: Counts that are told apart when the vocabulary's least count is looked for.
@@ -325,7 +325,7 @@ def rows_of(text: str | None, voc: Vocabulary, row: np.ndarray) -> tuple[np.ndar
 
 
 def fit(train_texts: DataFrame, voc: Vocabulary) -> Network:
-    """The network after a pass over its share of the training texts (columns text, draw in 0 to 1)."""
+    """The network after one pass over the training texts (columns text, draw from 0 to below 1)."""
     context = train_texts.sparkSession.sparkContext
     sent = context.broadcast((voc, *voc.tables()))  # HEAD + MID words at any size
     net = Network.start(voc)

@@ -161,5 +161,16 @@ def test_language_model(spark, docs, monkeypatch):
     assert all(math.isfinite(r.score) for r in R.score_texts(odd(spark), F.lit(False)).collect())
 
 
+def test_language_model_learns_from_every_text(spark):
+    """With the shipped rounds: each text has a word of its own, whose input row only that text's gradient moves."""
+    rows = [(f"w{k} w{k}", k / 64) for k in range(64)] + [("last last", 1 - 2**-20)]
+    texts = spark.createDataFrame(rows, "text string, draw double")
+    voc = R.vocabulary(R.count(texts.select("text")))
+    before, after = R.Network.start(voc), R.fit(texts, voc)
+    own = [voc.symbol[t.split()[0].encode()] for t, _ in rows]
+    assert (before.E[own] != after.E[own]).any(1).all()
+    assert sum(R.ROUNDS) == 1
+
+
 def test_digest_of_empty_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
