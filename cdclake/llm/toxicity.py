@@ -21,7 +21,7 @@ from cdclake.llm.ngrams import Presence
 
 SIZES, BITS = (4, 5, 6), 20
 #: The sample: about so many labelled rows of each label.
-SAMPLE_EACH = 1500
+SAMPLE_EACH = 2500
 #: Added to counts; L2; rate of adaptive steps; passes over the sample.
 SMOOTH, PENALTY, RATE, PASSES = 1.0, 1e-3, 0.3, 6
 

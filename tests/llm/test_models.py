@@ -172,5 +172,14 @@ def test_language_model_learns_from_every_text(spark):
     assert sum(R.ROUNDS) == 1
 
 
+def test_toxicity_sample(spark, monkeypatch):
+    """The learner gets about 2500 labelled rows of each label, if there are so many."""
+    seen = []
+    monkeypatch.setattr(toxicity, "learn", lambda rows, y, weight: seen.extend(y))
+    docs = spark.range(5400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")))
+    assert all(abs(seen.count(label) - 2500) < 100 for label in (0, 1))
+
+
 def test_digest_of_empty_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
