@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from cdclake.llm.ngrams import bucket_counts
 
 SIZES, BITS = (1, 2, 3), 15
-#: The learner's sample: about so many rows of each language, of so many most frequent languages.
-SAMPLE_EACH, MOST_LANGUAGES = 1000, 256
+#: The learner's sample: about so many rows of each language; every language in the training rows is learned.
+SAMPLE_EACH = 1000
 #: FTRL: learning rate, its offset, L1, L2, passes over the sample; one row in CALIBRATE serves for the temperature.
 ALPHA, BETA, L1, L2, PASSES, CALIBRATE = 0.5, 1.0, 0.02, 0.01, 3, 5
 UNKNOWN = "und"
@@ -107,10 +107,11 @@ def fit(train: DataFrame, text_col: str, lang_col: str, key: Column) -> Language
     """The model of rows with text and language; key: decides who is in the sample, the same in each run."""
     rows = train.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << 30)).alias("draw"))
     rows = rows.where("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
     if not sizes:
         return LanguageModel([], np.ones(1 << BITS), np.zeros((1 << BITS, 1)), np.zeros(1), 1.0)
     languages = sorted(r["lang"] for r in sizes)
+    place = {lang: k for k, lang in enumerate(languages)}
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, number = np.zeros(1 << BITS, np.int64), 0
@@ -139,7 +140,7 @@ def fit(train: DataFrame, text_col: str, lang_col: str, key: Column) -> Language
                 yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([a.astype("<u2").tobytes() for a, _ in found], pa.binary()), pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], ["lang", "draw", "at", "x"])
 
     drawn = sample.mapInArrow(vectors, "lang string, draw long, at binary, x binary").collect()  # about SAMPLE_EACH rows of each language
-    drawn = sorted(((r["draw"], languages.index(r["lang"]), np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f4")) for r in drawn), key=lambda r: (r[0], r[1], len(r[2])))
+    drawn = sorted(((r["draw"], place[r["lang"]], np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f4")) for r in drawn), key=lambda r: (r[0], r[1], len(r[2])))
     learned = [(a, x, y) for k, (_, y, a, x) in enumerate(drawn) if k % CALIBRATE]
     kept = [(a, x, y) for k, (_, y, a, x) in enumerate(drawn) if k % CALIBRATE == 0]
     weights, bias = learn(learned, len(languages))
@@ -155,7 +156,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     language). Equal texts get equal answers.
     """
     docs = docs.drop("lang_pred", "score")
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers for each of MOST_LANGUAGES at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers for each language
 
     @F.pandas_udf("lang_pred string, score double")
     def answer(text):

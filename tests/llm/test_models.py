@@ -181,5 +181,15 @@ def test_toxicity_sample(spark, monkeypatch):
     assert all(abs(seen.count(label) - 2500) < 100 for label in (0, 1))
 
 
+def test_more_than_256_languages(spark):
+    """Every language is learned, the rarest too."""
+    word = lambda k: hashlib.md5(str(k).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))[:8]
+    rows = [(k * 6 + j, f"{word(k)} " * (j + 3), f"l{k:03}") for k in range(300) for j in range(6 if k < 299 else 5)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(train, "text", "lang", F.col("doc_id"))
+    assert model.languages == [f"l{k:03}" for k in range(300)]
+    assert model.predict(f"{word(299)} " * 4)[0] == "l299"
+
+
 def test_digest_of_empty_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
