@@ -8,8 +8,8 @@ that of the word in its class.
 
 Training runs truncated backpropagation through time once over all training texts, in ROUNDS; in each,
 every partition starts from the same weights and the next round from their average. Texts lie one after the other in parallel
-streams; the state is carried from window to window over the whole text in scoring, over segments in training, so
-that a very long text doesn't hold up its task.
+streams; the state is carried from window to window over the whole text. In training, long texts lie there in segments,
+so that a very long one doesn't hold up its task; a forward run beforehand gives each later segment its first state.
 """
 
 from __future__ import annotations
@@ -104,8 +104,8 @@ class Network:
         net.w[:] = np.where(by_class > 0, np.log(np.maximum(by_class, 1) / np.maximum(by_class.sum(1, keepdims=True), 1)), -30)
         return net
 
-    def run(self, x: np.ndarray, reset: np.ndarray, h: np.ndarray) -> tuple[list, np.ndarray]:
-        """States before each step of x (steps x streams); what backward() needs; reset: a text begins here."""
+    def run(self, x: np.ndarray, reset: np.ndarray, h: np.ndarray, cut: np.ndarray | None = None, given: np.ndarray | None = None) -> tuple[list, np.ndarray, np.ndarray]:
+        """States before each step of x (steps x streams); what backward() needs; reset: a text begins here; cut: a text goes on here, from the given state."""
         k, steps = HIDDEN, len(x)
         before = np.empty((steps, x.shape[1], k), np.float32)
         kept = []
@@ -115,6 +115,8 @@ class Network:
         u, n = -self.U, -2 * self.N
         for t in range(steps):
             h = np.where(reset[t][:, None], self.s, h)
+            if cut is not None:
+                h = np.where(cut[t][:, None], given[t], h)
             before[t] = h
             zr = 1 / (1 + np.exp(np.minimum(e[t, :, : 2 * k] + h @ u, 60)))
             z, r = zr[:, :k], zr[:, k:]
@@ -157,10 +159,10 @@ class Network:
                 grads[4][g] = e.sum(0)
         return out, grads
 
-    def gradient(self, x: np.ndarray, reset: np.ndarray, valid: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    def gradient(self, x: np.ndarray, reset: np.ndarray, valid: np.ndarray, h: np.ndarray, cut: np.ndarray | None = None, given: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
         """Of the mean negative ln over the valid tokens of a window; the state after it; the sum of ln."""
         k, (steps, streams) = HIDDEN, x.shape
-        kept, before, after = self.run(x, reset, h)
+        kept, before, after = self.run(x, reset, h, cut, given)
         ok = valid.ravel()
         out, (gC, gc, gb, gW, gw) = self.output(before.reshape(-1, k)[ok], x.ravel()[ok], True)
         g = Network(np.zeros_like(self.flat))
@@ -185,6 +187,8 @@ class Network:
             d = d * (1 - z) + drh * r + dzr @ self.U.T + into[t]
             g.s += d[reset[t]].sum(0)
             d[reset[t]] = 0
+            if cut is not None:
+                d[cut[t]] = 0
         flat, de = x.ravel(), de.reshape(-1, 3 * k)
         order = np.argsort(flat, kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
@@ -217,11 +221,38 @@ def streams_of(texts: list[np.ndarray], number: int) -> tuple[np.ndarray, np.nda
     return x.T.copy(), begins.T.copy(), which.T.copy()
 
 
+def states_at_cuts(net: Network, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """By segment of the texts in turn: whether its text begins there, and the state before it (0 where it begins)."""
+    number = np.array([-(-len(t) // SEGMENT) for t in texts])
+    first = np.cumsum(number) - number
+    begin = np.zeros(number.sum(), bool)
+    begin[first] = True
+    states = np.zeros((len(begin), HIDDEN), np.float32)
+    long = np.flatnonzero(number > 1)
+    if not len(long):
+        return begin, states
+    x, begins, which = streams_of([texts[k][: (number[k] - 1) * SEGMENT + 1] for k in long], STREAMS)
+    step = np.arange(len(x))[:, None]
+    place = step - np.maximum.accumulate(np.where(begins, step, 0), axis=0)
+    cut = (which >= 0) & (place > 0) & (place % SEGMENT == 0)
+    segment = first[long][which] + place // SEGMENT
+    h = np.zeros((x.shape[1], HIDDEN), np.float32)
+    for at in range(0, len(x), SCORE_WINDOW):
+        live = (which[at : at + SCORE_WINDOW] >= 0).any(0)
+        if not live.all():
+            x, begins, which, cut, segment, h = x[:, live], begins[:, live], which[:, live], cut[:, live], segment[:, live], h[live]
+        _, before, h = net.run(x[at : at + SCORE_WINDOW], begins[at : at + SCORE_WINDOW], h)
+        here = cut[at : at + SCORE_WINDOW]
+        states[segment[at : at + SCORE_WINDOW][here]] = before[here]
+    return begin, states
+
+
 def train(net: Network, batches: Iterator[list[np.ndarray]]) -> int:
     """One pass over batches of texts; returns the number of tokens. Adaptive steps for each weight."""
     seen, past = 0, np.full_like(net.flat, 1e-6)
     for texts in batches:
         segments = [t[k : k + SEGMENT] for t in texts for k in range(0, len(t), SEGMENT)]
+        first, states = states_at_cuts(net, texts)
         x, begins, which = streams_of(segments, STREAMS)
         h = np.zeros((x.shape[1], HIDDEN), np.float32)
         for at in range(0, len(x), WINDOW):
@@ -230,7 +261,9 @@ def train(net: Network, batches: Iterator[list[np.ndarray]]) -> int:
                 break
             live = valid.any(0)  # streams that have ended drop out
             x, begins, which, h, valid = (x, begins, which, h, valid) if live.all() else (x[:, live], begins[:, live], which[:, live], h[live], valid[:, live])
-            g, h, _ = net.gradient(x[at : at + WINDOW], begins[at : at + WINDOW], valid, h)
+            start, own = begins[at : at + WINDOW], which[at : at + WINDOW]
+            cut = start & ~first[own]
+            g, h, _ = net.gradient(x[at : at + WINDOW], start & first[own], valid, h, *((cut, states[own]) if cut.any() else ()))
             past += g * g
             net.flat -= RATE * 0.2 * g / np.sqrt(past)
             seen += int(valid.sum())

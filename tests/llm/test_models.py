@@ -191,5 +191,26 @@ def test_more_than_256_languages(spark):
     assert model.predict(f"{word(299)} " * 4)[0] == "l299"
 
 
+def test_training_carries_the_state_through_segments(monkeypatch):
+    for name, value in {"SEGMENT": 16, "RATE": 0.0}.items():
+        monkeypatch.setattr(R, name, value)
+    net, text, met = R.Network(), np.arange(40), {}
+    _, whole, _ = net.run(text[:, None], (text == 0)[:, None], np.zeros((1, R.HIDDEN), np.float32))
+    output = R.Network.output
+
+    def watched(self, before, row, learn):
+        met.update(zip(row.tolist(), before, strict=True))
+        return output(self, before, row, learn)
+
+    monkeypatch.setattr(R.Network, "output", watched)
+    assert R.train(net, iter([[text, np.array([50, 51])]])) == 42
+    assert all(np.allclose(met[k], whole[k, 0], atol=1e-5) for k in range(40))
+    no, yes = np.zeros((16, 1), bool), np.ones((16, 1), bool)
+    cut = no.copy()
+    cut[0] = True
+    g, _, _ = net.gradient(text[:16, None], no, yes, np.zeros((1, R.HIDDEN), np.float32), cut, whole[:16])
+    assert not R.Network(g).s.any()
+
+
 def test_digest_of_empty_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
