@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,23 +23,29 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local session (one process, as in tests) takes a folder that goes with it; a cluster has to set it.
+    """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="cdclake-"))
-    return _own_dir[0]
+        _own_dir.append(tempfile.mkdtemp(prefix="cdclake-"))
+        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
+    return f"file://{_own_dir[0]}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cdclake/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy", path: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts the lineage, and a lost executor costs no rerun."""
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = path or new_path(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,6 +55,31 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+#: A key is hot from this share of the rows on (and so many rows), so there are at most as many hot keys as its inverse.
+HOT_SHARE, HOT_ROWS, SALTS = 1 / 1000, 1000, 64
+
+
+def join_counted(rows: DataFrame, few: DataFrame, on: str, number: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with few, whose column number says in how many of the total rows its value of on is.
+
+    few has one row for each value. Rows of hot values are dealt over SALTS tasks, each of which gets few's row.
+    Columns that begin with _hot_ are taken.
+    """
+    is_hot = F.col(number) > max(HOT_ROWS, int(total * HOT_SHARE))
+    hot = few.where(is_hot).select(F.col(on).alias("_hot_key"))  # 1 / HOT_SHARE rows at most
+    salt = F.when(F.col("_hot_key").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0))
+    dealt = rows.join(F.broadcast(hot), F.col(on) == F.col("_hot_key"), "left").withColumn("_hot_salt", salt.cast("int")).drop("_hot_key")
+    copies = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    return dealt.join(few.withColumn("_hot_salt", copies), [on, "_hot_salt"], how).drop("_hot_salt")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -51,7 +89,11 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
-def partitions_for(df: DataFrame, bytes_each: int = 64 << 20) -> int:
-    """A number of partitions that grows with the input's size on disk."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each)) if size < 1 << 60 else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def slices(b: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most so many bytes of text, or of one row."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < b.num_rows:
+        stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+        yield b.slice(at, stop - at)
+        at = stop

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import collections
+import json
 import random
 import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cdclake.llm.bpe import WordBPE, encode_decode
+from cdclake.llm.common import slices
 from cdclake.llm.packing import pack_best_fit, plan
 from cdclake.llm.tokens import ByteBPE, token_pieces
 from cdclake.llm.training_order import permute, read_slots, write_shards
@@ -36,9 +39,9 @@ def docs_of(spark, rows=DOCS):
 def test_encoders_equal_the_library(text):
     for t in (text, text.replace(" ", ""), text * 5):
         expected = word_whole.encode(t, add_special_tokens=False).ids
-        ((ids, decoded),) = word.encode_texts([t])
-        assert np.frombuffer(ids, np.int32).tolist() == expected
-        assert decoded == word_whole.decode(expected, skip_special_tokens=False)
+        ids, decoded = word.encode_texts(pa.array([None, t, "", t]))
+        assert ids.to_pylist() == [[], expected, [], expected]
+        assert decoded.to_pylist()[1:] == [word_whole.decode(expected, skip_special_tokens=False), "", decoded.to_pylist()[1]]
         assert np.frombuffer(byte.encode(t), "<u4").tolist() == byte_whole.encode(t, add_special_tokens=False).ids
 
 
@@ -51,6 +54,31 @@ def test_tree_concatenation(leaf):
         assert [tree.names[i] for i in tree.encode_long(text)] == word_whole.encode(text, add_special_tokens=False).tokens
 
 
+def test_long_chunks_go_through_the_tree():
+    bpe = WordBPE(WORD)
+    texts = ["ab" * 255 + "a", "ab" * 256, "plain words, no tree", "x" * 5000 + " and " + "y" * 600 + "!!"]
+    ids, _ = bpe.encode_texts(pa.array(texts))
+    assert bpe.trees == 3
+    assert ids.to_pylist() == [word_whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_files_of_other_kinds_are_left_to_the_library(tmp_path):
+    spec = json.load(open(WORD, encoding="utf-8"))
+    spec["normalizer"]["normalizers"].pop()  # case counts here
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    other, library = WordBPE(str(tmp_path / "other.json")), Tokenizer.from_file(str(tmp_path / "other.json"))
+    ids, decoded = other.encode_texts(pa.array(["Aa bB.", None]))
+    expected = library.encode("Aa bB.", add_special_tokens=False).ids
+    assert not other.apart and word.apart and ids.to_pylist() == [expected, []]
+    assert decoded.to_pylist() == [library.decode(expected, skip_special_tokens=False), ""]
+
+
+def test_slices_bound_the_bytes():
+    texts = ["a" * n for n in (5, 5, 50, 1, 1, 1)] + [None, "é" * 4]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    assert [b.column(0).to_pylist() for b in slices(batch, 0, 10)] == [texts[:2], texts[2:3], texts[3:7], texts[7:]]
+
+
 def test_encode_decode(spark):
     out = encode_decode(docs_of(spark), WORD).collect()
     assert len(out) == len(DOCS)
@@ -134,3 +162,15 @@ def test_shards(spark, tmp_path):
     some = list(read_slots(spark, out, 15, 12, sequence_ids=64, shard_rows=10))
     assert [x.tobytes() for x in some] == [x.tobytes() for x in read[15:27]]
     assert write_shards(docs_of(spark, []), BYTE, f"{out}-none").count() == 0
+
+
+def test_shards_can_be_written_again(spark, tmp_path):
+    out = f"file://{tmp_path}/shards"
+    write_shards(docs_of(spark), BYTE, out, sequence_ids=64, shard_rows=10)
+    first = [x.tobytes() for x in read_slots(spark, out, 0, 10**6, sequence_ids=64, shard_rows=10)]
+    write_shards(docs_of(spark), BYTE, out, sequence_ids=64, shard_rows=10)
+    assert [x.tobytes() for x in read_slots(spark, out, 0, 10**6, sequence_ids=64, shard_rows=10)] == first
+    fewer = write_shards(docs_of(spark, DOCS[:3]), BYTE, out, sequence_ids=64, shard_rows=10).count()
+    assert len(list(read_slots(spark, out, 0, 10**6, sequence_ids=64, shard_rows=10))) == fewer == 3
+    with pytest.raises(ValueError):
+        write_shards(docs_of(spark), BYTE, out, sequence_ids=1 << 16)
