@@ -7,9 +7,11 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.operators import ddl, marks, merge, repair
+from cdclake.maintenance import remove_duplicates
+from cdclake.operators import ddl, marks
 from cdclake.sources import files
-from cdclake.sources.store import Store
+from cdclake.sources.store import BUCKET, Store
+from cdclake.streaming.merge import rebuild_index
 
 
 def parser() -> argparse.ArgumentParser:
@@ -27,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
     add("rebuild-index", *store, ("--key", {"required": True}), ("--filter", {}))
     add("cat", ("--path", {"required": True}), ("--format", {"default": "parquet"}))
     add("cat-index", ("--store", {"required": True}), ("--key", {"required": True}), ("--ids", {"required": True}))
-    add("remove-duplicates", *store, ("--key", {"required": True}), ("--newest", {"required": True}), ("--filter", {}))
+    add("remove-duplicates", *store, ("--key", {"required": True}), ("--newest", {"required": True}), ("--filter", {}), ("--execute", {"action": "store_true"}))
     add("compact", *store, ("--files", {"type": int, "default": 5}), ("--filter", {}))
     return p
 
@@ -56,27 +58,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
     if a.operation == "cat-index":
         kind = store.read("index").schema[keys[0]].dataType
         ids = spark.createDataFrame([(i,) for i in a.ids.split(",")], "id string").select(F.col("id").cast(kind).alias(keys[0]))
-        out = files.index_lookup(ids, store.read("index"), keys[0])
+        out = files.index_lookup(ids, store.read("index").drop(BUCKET), keys[0])
         out.show(truncate=False)
         return out
     if a.operation == "compact":
         return store.compact("rows", a.files, a.filter)
-    rows = store.read("rows", predicate=a.filter)
     if a.operation == "rebuild-index":
-        fresh = merge.index_of(rows, keys)
-        old = store.read("index")
-        if old is not None:  # tombstones stay, and what the filter leaves out
-            fresh = fresh.unionByName(old.join(fresh.select(*keys), keys, "left_anti"))
-        return store.commit({"index": fresh})
-    newest = [F.col(a.newest).desc(), *[F.col(c) for c in rows.columns if c not in keys and c != a.newest]]
-    flagged = repair.duplicate_partitions(rows, F.struct(*keys), store.by).cache()
-    if flagged.isEmpty():
-        return store.version()
-    fixed = repair.repaired(rows, keys, newest, store.by)
-    touched = repair.in_partitions(fixed, flagged, store.by)
-    if not repair.validation(touched, F.struct(*keys)).first().valid:
-        raise RuntimeError("the repaired rows still hold duplicates")
-    return store.commit({"rows": touched, "index": merge.index_of(store.read("rows"), keys).unionByName(store.read("index").where("not live"))}, {"rows": flagged})
+        return rebuild_index(store, keys, predicate=a.filter)
+    out = remove_duplicates(store, keys, a.newest, a.filter, a.execute)
+    for p in out["partitions"]:
+        print(" ".join(f"{k}={v}" for k, v in p.items()))
+    print(f"backup: version {out['backup']}; now: version {out['version']}" if a.execute else "nothing was changed: give --execute to remove them")
+    return out
 
 
 if __name__ == "__main__":

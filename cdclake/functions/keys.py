@@ -30,3 +30,8 @@ def split_record_id(record_id: Column, separator: str = "_") -> Column:
     """txn, bucket and row of a record id `t_b_r`; null parts where it has another form."""
     parts = F.split(record_id, "\\" + separator if not separator.isalnum() else separator, 3)
     return F.struct(F.get(parts, F.lit(0)).try_cast("bigint").alias("txn"), F.get(parts, F.lit(1)).try_cast("int").alias("bucket"), F.get(parts, F.lit(2)).try_cast("bigint").alias("row_id"))
+
+
+def joined(values: Column, separator: str = ",") -> Column:
+    """The values of an array as one text; null ones drop out."""
+    return F.array_join(values.cast("array<string>"), separator)

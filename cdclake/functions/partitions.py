@@ -29,6 +29,14 @@ def parse_partition_name(name: Column) -> Column:
     return F.str_to_map(name, F.lit("/"), F.lit("="))
 
 
-def partition_predicate(partitions: Iterable[dict[str, int | None]]) -> str:
-    """`(p_y=.. and p_m=..) or (..)`, for partition pruning; `false` for no partition."""
-    return " or ".join("(" + " and ".join(f"{k} is null" if v is None else f"{k}={int(v)}" for k, v in p.items()) + ")" for p in partitions) or "false"
+def partition_predicate(partitions: Iterable[dict[str, object]]) -> str:
+    """`(p_y=.. and p_m=..) or (..)`, for partition pruning; `false` for no partition. Values are numbers, texts, dates or null."""
+
+    def one(name: str, value: object) -> str:
+        if value is None:
+            return f"{name} is null"
+        if isinstance(value, (int, float)):
+            return f"{name}={value}"
+        return f"{name}='" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return " or ".join("(" + " and ".join(one(k, v) for k, v in p.items()) + ")" for p in partitions) or "false"

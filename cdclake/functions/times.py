@@ -24,7 +24,16 @@ def wall_clock(zoned: Column) -> Column:
     return F.to_timestamp_ntz(F.replace(local, F.lit("T"), F.lit(" ")))
 
 
-def update_ms(at: Column) -> Column:
-    """An update time in ms since 1970 by the wall clock; 0 where there is none."""
+def epoch_ms(at: Column, kind: str = "timestamp") -> Column:
+    """A value in ms since 1970 by the wall clock; kind is its type's name: timestamps, dates, and whole numbers as they are."""
+    if kind in ("bigint", "int", "smallint", "tinyint", "long"):
+        return at.cast("bigint")
+    if kind not in ("timestamp", "timestamp_ntz", "date"):
+        raise ValueError(f"no time in a {kind}")
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    return F.coalesce(F.timestamp_diff("MILLISECOND", epoch, at.cast("timestamp_ntz")), F.lit(0).cast("bigint"))
+    return F.timestamp_diff("MILLISECOND", epoch, at.cast("timestamp_ntz"))
+
+
+def update_ms(at: Column, kind: str = "timestamp") -> Column:
+    """An update time in ms since 1970 by the wall clock; 0 where there is none."""
+    return F.coalesce(epoch_ms(at, kind), F.lit(0).cast("bigint"))

@@ -52,7 +52,10 @@ def widen(df: DataFrame, exact_decimals: bool = False) -> DataFrame:
 
 
 def sql_type(source: Column) -> Column:
-    """The warehouse's type for a source type such as `varchar(32)`; null where the warehouse has none (bit)."""
-    name = F.lower(F.trim(F.regexp_replace(source, r"\(.*\)", "")))
+    """The warehouse's type for a source type such as `varchar(32)` or `int(11) unsigned`; null where the warehouse has none (bit).
+
+    What stands behind the name, such as a length or `unsigned`, doesn't count.
+    """
+    name = F.lower(F.regexp_extract(F.trim(source), r"^[^\s(]*", 0))
     known = F.create_map(*[F.lit(x) for pair in SOURCE_TYPES.items() for x in pair])
     return F.when(~name.isin(*UNSUPPORTED), F.coalesce(known[name], name))

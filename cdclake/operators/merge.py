@@ -19,18 +19,18 @@ class DataDelayed(RuntimeError):
     """Keys of a strict update batch aren't there yet; nothing was applied."""
 
 
-class UnknownOperation(ValueError):
-    """A batch holds operations that merges don't know."""
-
-
 @dataclass(frozen=True)
 class Policy:
-    """M1 COMBINED by default; equal times are accepted there and rejected by the strict policies."""
+    """M1 COMBINED by default; equal times are accepted there and rejected by the strict policies.
+
+    check_exists: whether insert_only leaves known keys alone; without it every row is appended, known or not.
+    """
 
     name: str = "combined"
     create_as_upsert: bool = False
     resurrect: bool = True
     on_unknown_op: str = "error"  # or skip, as_create
+    check_exists: bool = True
 
 
 COMBINED, UPDATE_STRICT, UPDATE_INSERT_MISSING, INSERT_ONLY = Policy(), Policy("update_strict"), Policy("update_insert_missing"), Policy("insert_only")
@@ -64,17 +64,19 @@ def actions(batch: DataFrame, index: DataFrame, keys: list[str], policy: Policy
     """Winners with x_ut, x_live (null: no entry) and the action that each takes.
 
     Actions: insert, update, delete, tombstone (delete of an unknown key), skip_create, skip_late, skip_missing.
-    INSERT_ONLY keeps all rows of a key, as it does no folding.
+    INSERT_ONLY keeps all rows of a key, as it does no folding. Further columns of the index come as x_<name>. An
+    entry that doesn't say whether its row lives is corrupt and fails the job.
     """
     if policy.name == "insert_only":
         rows = batch
     else:
         rows = winners(known_operations(batch, policy) if policy.name == "combined" else batch, keys, last_wins=policy.name == "combined")
-    entries = index.select(*keys, F.col("ut").alias("x_ut"), F.col("live").alias("x_live"), F.lit(True).alias("_there"))
+    entries = index.select(*keys, *[F.col(c).alias(f"x_{c}") for c in index.columns if c not in keys], F.lit(True).alias("_there"))
     joined = rows.join(entries, keys, "left")
     there, op = F.col("_there").isNotNull(), F.col("op")
+    joined = joined.withColumn("x_live", F.when(there & F.col("x_live").isNull(), F.raise_error(F.lit("corrupt index entry")).cast("boolean")).otherwise(F.col("x_live")))
     if policy.name == "insert_only":
-        action = F.when(there, "skip_create").otherwise("insert")
+        action = F.when(there & F.lit(policy.check_exists), "skip_create").otherwise("insert")
     elif policy.name == "combined":
         dead = there & ~F.col("x_live") & F.lit(not policy.resurrect) & (op == UPDATE)
         action = (
@@ -109,26 +111,37 @@ def counters(acted: DataFrame) -> DataFrame:
 APPLIED = ("insert", "update", "delete", "tombstone")
 
 
-def apply(target: DataFrame, index: DataFrame, acted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The target and the index after the actions. A row that changes its partition is rewritten there and leaves the old one."""
+def apply(target: DataFrame, index: DataFrame, acted: DataFrame, keys: list[str], by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The target and the index after the actions. A row that changes its partition is rewritten there and leaves the old one.
+
+    by: partition columns that the index keeps for each key, besides ut and live.
+    """
+    by = by or []
     touched = acted.where(F.col("action").isin(*APPLIED))
-    gone = touched.where(F.col("action") != "tombstone").select(*keys)
-    values = [c for c in target.columns]
-    fresh = touched.where(F.col("action").isin("insert", "update")).select(*[F.col(c) for c in values])
+    gone = touched.where(F.col("action").isin("update", "delete")).select(*keys)
+    fresh = touched.where(F.col("action").isin("insert", "update")).select(*target.columns)
     after = target.join(gone, keys, "left_anti").unionByName(fresh)
-    entries = touched.groupBy(*keys).agg(F.max("ut").alias("ut"), F.max(F.col("action").isin("insert", "update")).alias("live"))
-    kept = index.join(entries.select(*keys), keys, "left_anti").select(*keys, "ut", "live")
+    last = F.max(F.struct("ut", *by))
+    entries = touched.groupBy(*keys).agg(last.alias("_last"), F.max(F.col("action").isin("insert", "update")).alias("live"))
+    entries = entries.select(*keys, "_last.ut", "live", *[f"_last.{c}" for c in by])
+    kept = index.join(entries.select(*keys), keys, "left_anti").select(*keys, "ut", "live", *by)
     return after, kept.unionByName(entries)
 
 
-def index_of(winners_: DataFrame, keys: list[str]) -> DataFrame:
-    """A fresh index from rows: the greatest ut for each key."""
-    return winners_.groupBy(*keys).agg(F.max("ut").alias("ut"), F.lit(True).alias("live"))
+def index_of(rows: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
+    """A fresh index from rows: the greatest ut for each key, and its partition."""
+    by = by or []
+    best = rows.groupBy(*keys).agg(F.max(F.struct("ut", *by)).alias("_last"))
+    return best.select(*keys, "_last.ut", F.lit(True).alias("live"), *[f"_last.{c}" for c in by])
 
 
-def high_water_marks(acted: DataFrame, by: list[str], before: DataFrame | None = None) -> DataFrame:
-    """The greatest applied ut, by partition columns or for the whole table (no columns); never less than before."""
-    marks = acted.where(F.col("action").isin(*APPLIED)).groupBy(*by).agg(F.max("ut").alias("mark"))
+def high_water_marks(acted: DataFrame, by: list[str], before: DataFrame | None = None, policy: Policy = COMBINED) -> DataFrame:
+    """The greatest applied ut, by partition columns or for the whole table (no columns); never less than before.
+
+    INSERT_ONLY counts the rows that it skips too.
+    """
+    counted = acted if policy.name == "insert_only" else acted.where(F.col("action").isin(*APPLIED))
+    marks = counted.groupBy(*by).agg(F.max("ut").alias("mark"))
     if before is None:
         return marks
     return marks.unionByName(before).groupBy(*by).agg(F.max("mark").alias("mark"))

@@ -25,3 +25,10 @@ def table_megabytes(table: DataFrame, copies: int = 1) -> float:
         path = jvm.org.apache.hadoop.fs.Path(f)
         total += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
     return total / copies / 1024**2
+
+
+def progress(ledger: DataFrame, by: list[str], finished: tuple[str, ...] = ("SUCCESS",)) -> DataFrame:
+    """Of each group of tasks: finished, total and their ratio."""
+    done = F.count(F.when(F.col("status").isin(*finished), 1))
+    out = ledger.groupBy(*by).agg(done.alias("finished"), F.count(F.lit(1)).alias("total"))
+    return out.withColumn("ratio", F.col("finished") / F.col("total"))

@@ -27,6 +27,14 @@ def greedy(ledger: DataFrame, limit: int = GREEDY) -> DataFrame:
     return ledger.where(F.col("status") == NEW).withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit + 1)
 
 
+def dealt(ledger: DataFrame, processors: int) -> DataFrame:
+    """The ledger with the processor of each task: new tasks in turn by id, delayed ones of a partition all to one."""
+    turn = F.row_number().over(Window.partitionBy("status").orderBy("id")) - 1
+    place = F.concat_ws("/", "db", "table_name", "partition_name")
+    hashed = F.conv(F.substring(F.md5(place.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return ledger.withColumn("processor", F.when(F.col("status") == DELAY, hashed % processors).otherwise(turn % processors).cast("int"))
+
+
 def with_status(ledger: DataFrame, done: DataFrame, status: str, delete: bool = False) -> DataFrame:
     """The ledger after tasks (ids in done) ended: with their status, or without them; a delay counts an attempt."""
     if delete:

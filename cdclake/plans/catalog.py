@@ -6,8 +6,6 @@ seq event_id. Batch 1 is what has an even id and a user not divisible by 3, batc
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +13,13 @@ from pyspark.sql import functions as F
 
 from cdclake import functions as fn
 from cdclake.operators import merge as m
-from cdclake.operators import metrics, repair, tasks
-from cdclake.operators.envelope import flatten, partitioned, source_database
+from cdclake.operators import ddl, marks, metrics, repair, tasks
+from cdclake.operators.envelope import flatten, operation, partitioned, source_database
 from cdclake.sources import files
+from cdclake.sources.shared import new_path
 from cdclake.sources.store import Store
 from cdclake.streaming.merge import merge_batch, merge_stream
+from cdclake.streaming.tasks import consume, publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ["user_id"]
@@ -68,14 +68,14 @@ a AS (SELECT w2.*, w1.ut AS x_ut, CASE WHEN w1.user_id IS NULL AND w2.op = 'd' T
 
 @query("SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, max_by(value, (ts, event_id)) AS value FROM events GROUP BY user_id")
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("user_id", F.lit("u").alias("op"), F.col("ts").alias("t"), "event_id", "value")
-    best = rows.groupBy("user_id").agg(F.max(F.struct("t", "event_id", "value")).alias("b"))
-    return best.select("user_id", "b.event_id", "b.value")
+    micros = F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col("ts").cast("timestamp_ntz"))
+    rows = table(spark, sf_dir, "events").select("user_id", F.lit("u").alias("op"), micros.alias("ut"), F.col("event_id").alias("seq"), "value")
+    return m.winners(rows, KEYS).select("user_id", F.col("seq").alias("event_id"), "value")
 
 
-@query(VIEW + "SELECT user_id, op, ut, seq, value FROM f2")
+@query(VIEW + "SELECT user_id, op, ut, seq, value FROM ch QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ut DESC, seq) = 1")
 def first_wins_tie_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.winners(batches(spark, sf_dir)[1], KEYS, last_wins=False).select("user_id", "op", "ut", "seq", "value")
+    return m.winners(change_rows(table(spark, sf_dir, "events")), KEYS, last_wins=False).select("user_id", "op", "ut", "seq", "value")
 
 
 def merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -201,10 +201,24 @@ def unique_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select(*LINE_KEYS, "l_shipdate", "l_partkey", "l_extendedprice")
 
 
-@query("SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_ids, count(*) AS ids, count(DISTINCT (l_orderkey, l_linenumber)) AS first_rows, true AS valid FROM lineitem")
+@query(PARTS_SQL + f""", r AS (SELECT l.* FROM l SEMI JOIN d USING (p_y, p_m)),
+u AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {NEWEST_SQL}) = 1),
+v AS (SELECT 'raw' AS state, l_orderkey, l_linenumber FROM r UNION ALL SELECT 'repaired', l_orderkey, l_linenumber FROM u)
+SELECT state, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_ids, count(*) AS ids, count(DISTINCT (l_orderkey, l_linenumber)) = count(*) AS valid FROM v GROUP BY state""")
 def repair_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitions that hold keys twice, as they are and repaired: the first fails the validation."""
+    rows = by_month(spark, sf_dir)
+    flagged = repair.duplicate_partitions(rows, F.struct(*LINE_KEYS), ["p_y", "p_m"])
+    states = {"raw": repair.in_partitions(rows, flagged, ["p_y", "p_m"]), "repaired": repair.in_partitions(repair.repaired(rows, LINE_KEYS, newest(), ["p_y", "p_m"]), flagged, ["p_y", "p_m"])}
+    out = [repair.validation(r, F.struct(*LINE_KEYS)).select(F.lit(k).alias("state"), "distinct_ids", "ids", "valid") for k, r in states.items()]
+    return out[0].unionByName(out[1])
+
+
+@query("SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_ids, count(DISTINCT (l_orderkey, l_linenumber)) AS first_rows FROM lineitem")
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of rank 1, which are as many as keys."""
     rows = repair.ranked(table(spark, sf_dir, "lineitem"), LINE_KEYS, newest())
-    return repair.validation(rows, F.struct(*LINE_KEYS), F.col("rowno"))
+    return repair.validation(rows, F.struct(*LINE_KEYS), F.col("rowno")).select("distinct_ids", "first_rows")
 
 
 @query(PARTS_SQL + f""", r AS (SELECT l.* FROM l SEMI JOIN d USING (p_y, p_m)),
@@ -264,10 +278,11 @@ def insert_if_absent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.insert_if_absent(table(spark, sf_dir, "orders"), index, ["o_custkey"]).select("o_orderkey", "o_custkey")
 
 
-@query(VIEW + "SELECT i AS user_id, coalesce(w1.ut::VARCHAR, 'EMPTY') AS ut FROM range(0, 200) r(i) LEFT JOIN w1 ON w1.user_id = i")
+@query(VIEW + "SELECT i.user_id, coalesce(w1.ut::VARCHAR, 'EMPTY') AS ut FROM (SELECT DISTINCT user_id FROM ch) i LEFT JOIN w1 USING (user_id)")
 def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user's entry in the index of batch 1, which lacks some."""
     index = _index(batches(spark, sf_dir)[0]).select("user_id", "ut")
-    return files.index_lookup(spark.range(200).withColumnRenamed("id", "user_id"), index, "user_id")
+    return files.index_lookup(table(spark, sf_dir, "events").select("user_id").distinct(), index, "user_id")
 
 
 @query(VIEW + "SELECT user_id, max(ut) AS ut, true AS live FROM ch GROUP BY 1")
@@ -305,11 +320,11 @@ def task_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.decode(tasks.encode(rows)).select("id", "tbl", "attempt", F.size("partitions").alias("depth"))
 
 
-TYPES = ["int(11)", "tinyint(1)", "varchar(32)", "DECIMAL(10,2)", "datetime", "bigint(20)", "date", "enum('a','b')", "longtext", "bit(1)", "double"]
+TYPES = ["int(11)", "int(11) unsigned", "INT UNSIGNED", "decimal(10,2) unsigned", "double(2,3)", "tinyint(1)", "varchar(32)", "DECIMAL(10,2)", "datetime", "bigint(20)", "date", "enum('a','b')", "longtext", "bit(1)", "double"]
 
 
 @query(
-    "SELECT s AS source, t AS target FROM (VALUES ('int(11)','bigint'),('tinyint(1)','bigint'),('varchar(32)','string'),('DECIMAL(10,2)','double'),('datetime','timestamp'),('bigint(20)','bigint'),('date','date'),('enum(''a'',''b'')','string'),('longtext','string'),('bit(1)',NULL),('double','double')) v(s, t)"
+    "SELECT s AS source, t AS target FROM (VALUES ('int(11)','bigint'),('int(11) unsigned','bigint'),('INT UNSIGNED','bigint'),('decimal(10,2) unsigned','double'),('double(2,3)','double'),('tinyint(1)','bigint'),('varchar(32)','string'),('DECIMAL(10,2)','double'),('datetime','timestamp'),('bigint(20)','bigint'),('date','date'),('enum(''a'',''b'')','string'),('longtext','string'),('bit(1)',NULL),('double','double')) v(s, t)"
 )
 def ddl_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.createDataFrame([(t,) for t in TYPES], "source string")
@@ -335,39 +350,315 @@ def envelope_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key.id").alias("event_id"), "op", "after.value", "p_y", "p_m", "p_d")
 
 
-def _folder(spark: SparkSession) -> str:
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{given.rstrip('/') if given else 'file://' + tempfile.mkdtemp()}/cdclake-{uuid.uuid4().hex}"
+def _partitioned(batch: DataFrame) -> DataFrame:
+    """A batch with the month of its update time as partition, so that rows move when they are updated."""
+    return batch.withColumn("p_m", F.month(F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=F.col("ut") / 1000)))
 
 
 @query(STATE_SQL)
 def store_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both batches through snapshot commits; the second one twice, which changes nothing."""
-    store = Store(spark, _folder(spark))
+    store = Store(spark, new_path(spark, "store"), ["p_m"], index_buckets=4)
     for k, batch in (("1", 0), ("2", 1), ("2", 1)):
-        merge_batch(store, batches(spark, sf_dir)[batch], KEYS, batch_id=k)
+        merge_batch(store, _partitioned(batches(spark, sf_dir)[batch]), KEYS, batch_id=k)
+    return store.read("rows").select("user_id", "ut", "value")
+
+
+@query(STATE_SQL)
+def unpartitioned_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store(spark, new_path(spark, "store"), index_buckets=2)
+    for batch in batches(spark, sf_dir):
+        merge_batch(store, batch, KEYS)
     return store.read("rows").select("user_id", "ut", "value")
 
 
+@query(VIEW + "SELECT user_id, ut, op <> 'd' AS live FROM w1 WHERE user_id NOT IN (SELECT user_id FROM a WHERE action NOT LIKE 'skip%') UNION ALL SELECT user_id, ut, action IN ('insert', 'update') FROM a WHERE action NOT LIKE 'skip%'")
+def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index that two merges leave, put together from the parts that they rewrote."""
+    store = Store(spark, new_path(spark, "store"), ["p_m"], index_buckets=4)
+    for batch in batches(spark, sf_dir):
+        merge_batch(store, _partitioned(batch), KEYS)
+    return store.read("index").select("user_id", "ut", "live")
+
+
+@query(VIEW + f""", p AS (SELECT month(make_timestamp(ut * 1000))::INT AS p_m, ut FROM a WHERE {APPLIED} UNION ALL SELECT month(make_timestamp(ut * 1000))::INT, ut FROM w1)
+SELECT p_m, max(ut) AS mark FROM p GROUP BY 1""")
+def stored_partition_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store(spark, new_path(spark, "store"), ["p_m"], index_buckets=4)
+    for batch in batches(spark, sf_dir):
+        merge_batch(store, _partitioned(batch), KEYS)
+    return store.read("partition_marks").select("p_m", "mark")
+
+
 @query(STATE_SQL)
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both batches as files of a stream, one file a micro-batch."""
-    folder = _folder(spark)
-    store = Store(spark, f"{folder}/store")
-    checkpoint = f"{folder}/checkpoint"
+    """Both batches as files of a stream, all files of a batch in one micro-batch."""
+    folder = new_path(spark, "stream")
+    store = Store(spark, f"{folder}/store", ["p_m"], index_buckets=4)
+    for batch in batches(spark, sf_dir):
+        _partitioned(batch).write.mode("append").parquet(f"{folder}/staged")
+        stream = files.staged_stream(spark, f"{folder}/staged", _partitioned(batch).schema)
+        merge_stream(stream, store, KEYS, f"{folder}/checkpoint").awaitTermination()
+    return store.read("rows").select("user_id", "ut", "value")
+
+
+@query(STATE_SQL)
+def tasks_equal_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch published as staged files with tasks, which are then worked through; users are partitions of their own."""
+    folder = new_path(spark, "tasks")
+    store = Store(spark, f"{folder}/store", ["p"], index_buckets=2)
     for batch in batches(spark, sf_dir):
-        batch.coalesce(1).write.mode("append").parquet(f"{folder}/staged")
-        stream = files.staged_stream(spark, f"{folder}/staged", batch.schema)
-        merge_stream(stream, store, KEYS, checkpoint).awaitTermination()
+        publish(store, batch.withColumn("p", (F.col("user_id") % 2).cast("int")), f"{folder}/staged", "db", "events")
+        consume(store, KEYS)
     return store.read("rows").select("user_id", "ut", "value")
 
 
-@query()
+@query(VIEW + "SELECT user_id, ut, value FROM ch QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ut DESC, seq DESC) = 1")
+def delayed_batch_goes_in_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A strict batch waits for its keys, an insert-only one brings them, then the first goes in."""
+    folder = new_path(spark, "delayed")
+    store = Store(spark, f"{folder}/store", ["p"], index_buckets=2)
+    rows = change_rows(table(spark, sf_dir, "events")).withColumn("p", F.lit(1))
+    newest = m.winners(rows, KEYS)
+    publish(store, newest.withColumn("op", F.lit("u")).withColumn("ut", F.col("ut") + 1), f"{folder}/staged", "db", "events")
+    ended = [consume(store, KEYS, m.UPDATE_STRICT)]
+    publish(store, newest.withColumn("value", F.lit(0.0)), f"{folder}/staged", "db", "events")
+    ended += [consume(store, KEYS, m.INSERT_ONLY), consume(store, KEYS, m.UPDATE_STRICT, delayed_hours=0)]
+    if [list(e) for e in ended] != [[tasks.DELAY], [tasks.SUCCESS], [tasks.SUCCESS]]:
+        raise RuntimeError(f"tasks ended as {ended}")
+    return store.read("rows").select("user_id", (F.col("ut") - 1).alias("ut"), "value")
+
+
+ORDERS_SQL = "WITH o AS (SELECT year(o_orderdate)::INT AS y, o_orderkey, o_totalprice FROM orders) "
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> Store:
+    """A store of orders by year, each year in two commits."""
+    store = Store(spark, new_path(spark, "orders"), ["y"])
+    rows = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"), "o_orderkey", "o_totalprice")
+    store.commit({"rows": rows}, {"rows": rows.select("y")})
+    return store
+
+
+@query(ORDERS_SQL + "SELECT y, count(*) AS n FROM o WHERE y <> (SELECT min(y) FROM o) GROUP BY y")
+def dropped_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _orders(spark, sf_dir)
+    store.drop_partitions("rows", [(store.read("rows").agg(F.min("y")).first()[0],)])
+    return store.read("rows").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(ORDERS_SQL + "SELECT y, count(*) AS n, max(o_totalprice) AS most FROM o WHERE y >= 1995 GROUP BY y")
+def renamed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from a query, renamed, its source dropped."""
+    store = _orders(spark, sf_dir)
+    store.commit({"late": store.read("rows", predicate="y >= 1995")})
+    store.rename("late", "late_orders")
+    store.drop("rows")
+    if store.read("rows") is not None or store.read("late") is not None:
+        raise RuntimeError("a dropped or renamed table is still there")
+    return store.read("late_orders").groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("most"))
+
+
+@query(ORDERS_SQL + "SELECT y, 1::BIGINT AS files, count(*) AS rows FROM o GROUP BY y")
+def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions of some files each, after compaction and vacuum."""
+    store = _orders(spark, sf_dir)
+    base = store.manifest()
+    small = store.read("rows", base=base).repartition(3, "o_orderkey")  # three files for each year
+    folder = new_path(spark, "small")
+    small.withColumn("_part_y", F.col("y")).write.partitionBy("_part_y").parquet(folder)
+    base["tables"]["rows"] = {key: f"{folder}/{path.rsplit('/', 1)[1]}" for key, path in base["tables"]["rows"].items()}
+    store.commit({}, base=base)
+    if metrics.file_stats(store.read("rows").select("*", "_metadata"), ["y"], least=1).isEmpty():
+        raise RuntimeError("nothing to compact")
+    store.compact("rows", more_than=1)
+    store.vacuum(grace_seconds=0)
+    return metrics.file_stats(store.read("rows").select("*", "_metadata"), ["y"])
+
+
+@query("SELECT year(o_orderdate)::INT AS p_y, 1::BIGINT AS files, count(*) AS rows FROM orders GROUP BY 1")
 def table_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each test table is one file."""
     y = F.year("o_orderdate").alias("p_y")
     return metrics.file_stats(table(spark, sf_dir, "orders").select("*", "_metadata", y), ["p_y"])
 
 
+@query("SELECT event_id, coalesce(CASE WHEN event_id % 3 <> 0 THEN value END, -1) AS value FROM events")
+def envelope_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    after = F.struct(F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("Value"))
+    e = table(spark, sf_dir, "events").select(after.alias("after"), F.lit("u").alias("op"), F.struct("event_id").alias("key"))
+    return flatten(e, {"value": -1.0}).select("key.event_id", "after.value")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 4 <> 0")
+def null_records_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    after = F.when(F.col("event_id") % 4 != 0, F.struct("value"))
+    e = table(spark, sf_dir, "events").select(F.when(F.lit(False), F.struct("value")).alias("before"), after.alias("after"), F.lit("u").alias("op"), F.struct("event_id").alias("key"))
+    return flatten(e).select("key.event_id")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN year(current_date) ELSE year(ts) END::INT AS p_y FROM events WHERE event_id % 5 <> 0 OR event_type = 'signup'")
+def creates_without_time_go_to_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a create time: creates go to today's partition, others drop out."""
+    op = F.when(F.col("event_type") == "signup", "c").otherwise("u")
+    after = F.struct(F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("create_time"))
+    e = table(spark, sf_dir, "events").select(after.alias("after"), op.alias("op"), F.struct("event_id").alias("key"))
+    return partitioned(flatten(e)).select("key.event_id", "p_y")
+
+
+@query("SELECT event_id, CASE event_type WHEN 'error' THEN 'failures' WHEN 'signup' THEN 'accounts' ELSE event_type END AS db FROM events")
+def renamed_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", F.concat("event_type", F.lit("12")).alias("d"))
+    return e.select("event_id", source_database(F.col("d"), {"error": "failures", "signup": "accounts"}).alias("db"))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'd' WHEN 1 THEN 'u' END AS op FROM events")
+def operation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.element_at(F.array(F.lit("D"), F.lit("u"), F.lit("x")), (F.col("event_id") % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", operation(code).alias("op"))
+
+
+@query("SELECT o_orderkey, (o_orderdate::DATE - INTERVAL 1 DAY)::DATE::VARCHAR AS moved, o_orderdate::DATE::VARCHAR AS kept FROM orders")
+def shifted_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch days as the source writes them, moved back by its clock's 8 hours and not."""
+    days = F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", fn.shifted_date(days, 8).cast("string").alias("moved"), fn.shifted_date(days).cast("string").alias("kept"))
+
+
+@query("SELECT event_id, epoch_us(ts) // 1000 - 28800000 AS ms FROM events")
+def shifted_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", fn.update_ms(F.col("ts")).alias("ms"))
+    return e.select("event_id", F.unix_millis(fn.shifted_timestamp(F.col("ms"))).alias("ms"))
+
+
+@query("SELECT o_orderkey, epoch_ms(o_orderdate::DATE::TIMESTAMP) AS of_date, o_orderkey::BIGINT AS of_number FROM orders")
+def epoch_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", fn.epoch_ms(F.col("o_orderdate").cast("date"), "date").alias("of_date"), fn.epoch_ms(F.col("o_orderkey"), "bigint").alias("of_number"))
+
+
+@query("SELECT o_orderkey, year(o_orderdate)::INT AS p_y, month(o_orderdate)::INT AS p_m, day(o_orderdate)::INT AS p_d FROM orders")
+def partition_ymd_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return table(spark, sf_dir, "orders").select("o_orderkey", *fn.partition_values(text, is_text=True))
+
+
+@query(PARTS_SQL + "SELECT l_orderkey, l_linenumber, l_shipdate FROM l SEMI JOIN d USING (p_y, p_m)")
+def rows_of_duplicate_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of flagged partitions by a predicate that names each of them."""
+    rows = by_month(spark, sf_dir)
+    found = repair.duplicate_partitions(rows, F.struct(*LINE_KEYS), ["p_y", "p_m"]).select("p_y", "p_m").collect()  # a row for each partition
+    return rows.where(fn.partition_predicate([r.asDict() for r in found])).select(*LINE_KEYS, "l_shipdate")
+
+
+@query("SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM nation GROUP BY 1")
+def joined_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(fn.joined(F.array_sort(F.collect_list("n_name")), "|").alias("names"))
+
+
+@query("SELECT count(*) AS tasks, count(*) AS ids FROM events")
+def task_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of new tasks are all different."""
+    e = table(spark, sf_dir, "events").select(F.lit("db").alias("db"), F.col("event_type").alias("table_name"), F.lit("p").alias("partition_name"), F.col("event_id").cast("string").alias("file_path"), F.lit("a").alias("op"))
+    return tasks.new_tasks(e).agg(F.count(F.lit(1)).alias("tasks"), F.countDistinct("id").alias("ids"))
+
+
+@query(LEDGER_SQL + "SELECT table_name, count(*) FILTER (status = 'SUCCESS') AS finished, count(*) AS total, count(*) FILTER (status = 'SUCCESS') / count(*) AS ratio FROM t GROUP BY 1")
+def task_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.progress(ledger(spark, sf_dir), ["table_name"])
+
+
+@query(LEDGER_SQL + "SELECT id, CASE WHEN id LIKE '%7' THEN 'DELAY' ELSE status END AS status, attempt + CASE WHEN id LIKE '%7' THEN 1 ELSE 0 END AS attempt FROM t WHERE id NOT LIKE '%3'")
+def ledger_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some tasks are delayed once more, others end and leave the ledger."""
+    rows = ledger(spark, sf_dir).withColumn("update_time", F.col("create_time"))
+    after = tasks.with_status(rows, rows.where("id like '%7'").select("id"), tasks.DELAY)
+    return tasks.with_status(after, rows.where("id like '%3'").select("id"), tasks.SUCCESS, delete=True).select("id", "status", "attempt")
+
+
+@query(LEDGER_SQL + """, n AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY id) - 1 AS turn, 'db/' || table_name || '/' || partition_name AS place FROM t)
+SELECT id, (CASE WHEN status = 'DELAY' THEN ('0x' || md5(place)[1:8])::BIGINT % 7 ELSE turn % 7 END)::INT AS processor FROM n""")
+def dealt_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.dealt(ledger(spark, sf_dir), 7).select("id", "processor")
+
+
+@query("WITH f AS (SELECT 'f' || p_partkey AS file_path FROM part) SELECT file_path, floor((row_number() OVER (ORDER BY md5(file_path), file_path) - 1) / ceil((SELECT count(*) FROM f) / 6))::INT AS chunk FROM f")
+def chunked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = table(spark, sf_dir, "part").select(F.concat(F.lit("f"), "p_partkey").alias("file_path"))
+    return files.chunks(listed, 6)
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS p_name, p_size FROM part")
+def unioned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two staged folders read as one batch, the second without a column."""
+    folder, part = new_path(spark, "staged"), table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    part.where("p_partkey % 2 = 0").write.parquet(f"{folder}/a")
+    part.where("p_partkey % 2 <> 0").drop("p_name").write.parquet(f"{folder}/b")
+    return files.staged(spark, f"{folder}/a", f"{folder}/b").select("p_partkey", "p_name", "p_size")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dump of staged files at some depth, read back from its JSON lines."""
+    folder, nation = new_path(spark, "dump"), table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nation.write.parquet(f"{folder}/deep/er")
+    return files.dump(spark, folder).select(F.from_json("json", nation.schema).alias("r")).select("r.*")
+
+
+COLUMNS = [("Id", "int"), ("shop_id", "int"), ("name", "varchar"), ("Create_Time", "datetime")]
+
+
+@query("SELECT * FROM (VALUES ('Id', 'int'), ('shop_id', 'int')) v(name, type)")
+def primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.primary_keys(spark.createDataFrame(COLUMNS, "name string, type string"), spark.createDataFrame([("SHOP_ID",), ("id",)], "name string"))
+
+
+@query(
+    "SELECT 'shop.orders' AS name, 'CREATE TABLE IF NOT EXISTS `shop`.`orders` (`create_time` timestamp, `id` bigint, `name` string, `shop_id` bigint) USING orc PARTITIONED BY (p_y INT, p_m INT, p_d INT)' AS statement"
+)
+def ddl_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of one database stand for it; a table without a create time is left out."""
+    catalog = [(db, "orders", n, t) for db in ("shop1", "shop2") for n, t in COLUMNS] + [("shop1", "plain", "id", "int")]
+    made = ddl.statements(spark.createDataFrame(catalog, "db string, table string, name string, type string"))
+    return spark.createDataFrame(list(made.items()), "name string, statement string")
+
+
+@query(VIEW + "SELECT 'db.events_' || event_type AS scope, epoch_us(max(ts)) // 1000 AS stream_update_time, CASE WHEN event_type = 'error' THEN 77 ELSE -1 END::BIGINT AS check_update_time FROM events GROUP BY event_type")
+def check_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").groupBy("event_type").agg(F.max(fn.update_ms(F.col("ts"))).alias("stream_update_time"))
+    at = e.select(F.concat(F.lit("db.events_"), "event_type").alias("scope"), "stream_update_time", F.lit(None).cast("bigint").alias("check_update_time"))
+    return marks.set_check_time(spark, marks.advanced(at, at.withColumn("stream_update_time", F.lit(5).cast("bigint"))), [marks.scope("db", "events", "error")], 77).fillna(-1)
+
+
+@query(VIEW + "SELECT seq, user_id, 'insert' AS action FROM b2")
+def blind_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert-only without looking at the index: every row is appended."""
+    one, two = batches(spark, sf_dir)
+    return m.actions(two, _index(one), KEYS, m.Policy("insert_only", check_exists=False)).select("seq", "user_id", "action")
+
+
+@query(VIEW + "SELECT max(ut) AS mark FROM b2")
+def insert_only_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are skipped count too."""
+    one, two = batches(spark, sf_dir)
+    acted = m.actions(two, _index(one), KEYS, m.INSERT_ONLY)
+    return m.high_water_marks(acted, [], policy=m.INSERT_ONLY)
+
+
+@query("SELECT event_type, count(*) AS n, quantile_disc(value, 0.5) AS half, quantile_disc(value, 0.99) AS most FROM events GROUP BY 1")
+def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = metrics.operation_metrics(table(spark, sf_dir, "events"), ["event_type"], latency="value")
+    return rows.select("event_type", "n", F.get("latency", F.lit(0)).alias("half"), F.get("latency", F.lit(2)).alias("most"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 2 AND 4")
+def pruned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predicate on partition columns reads the folders that it chooses alone."""
+    store = Store(spark, new_path(spark, "pruned"), ["p_y", "p_m"])
+    rows = by_month(spark, sf_dir).select(*LINE_KEYS, "l_shipdate", "p_y", "p_m")
+    store.commit({"rows": rows}, {"rows": rows.select("p_y", "p_m")})
+    return store.read("rows", predicate="p_y = 1995 and p_m between 2 and 4").select(*LINE_KEYS, "l_shipdate")
+
+
 def queries() -> dict[str, Query]:
     return {name: q for name, (q, _) in _found.items()}
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdclake.functions import partition_name
+
 
 def staged(spark: SparkSession, *paths: str, format: str = "parquet", recursive: bool = False) -> DataFrame:
     """Staged files as one batch, with the union of their columns."""
@@ -30,9 +32,27 @@ def topic_stream(spark: SparkSession, servers: str, topics: list[str], schema: T
     return reader.load().select(F.from_json(F.col("value").cast("string"), schema).alias("e"), "topic", "partition", "offset").select("e.*", "topic", "partition", "offset")
 
 
-def stage(rows: DataFrame, path: str, by: list[str], most_rows: int = 100_000) -> None:
-    """Append rows to the staging area, by partition, in files of at most most_rows."""
-    rows.write.mode("append").option("maxRecordsPerFile", most_rows).partitionBy(*by).parquet(path)
+def stage(rows: DataFrame, path: str, by: list[str], most_rows: int = 100_000) -> DataFrame:
+    """Write rows to a new folder of the staging area, by partition, in files of at most most_rows; returns file_path and partition_name of each.
+
+    A file holds all columns, so that it can be read alone.
+    """
+    copies = [F.col(c).alias(f"_part_{c}") for c in by]
+    rows.select("*", *copies).hint("rebalance", *[F.col(f"_part_{c}") for c in by]).write.option("maxRecordsPerFile", most_rows).partitionBy(*[f"_part_{c}" for c in by]).parquet(path)
+    written = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return written.select(F.col("_metadata.file_path").alias("file_path"), partition_name(*[F.col(c) for c in by], names=tuple(by)).alias("partition_name")).distinct()
+
+
+def chunks(files: DataFrame, cores: int, path: str = "file_path") -> DataFrame:
+    """files with the chunk that each is dealt to, 0 to cores - 1: in a shuffled order, ceil(files / cores) of them each."""
+    order = Window.orderBy(F.md5(F.col(path).cast("binary")), path)  # a list of files, not rows
+    return files.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / F.ceil(F.count(F.lit(1)).over(Window.partitionBy()) / cores)).cast("int"))
+
+
+def source_catalog(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
+    """A source database's columns (db, table, name, type) by JDBC; query gives them under these names, in any case."""
+    found = spark.read.format("jdbc").options(url=url, query=query, **options).load()
+    return found.toDF(*[c.lower() for c in found.columns]).select("db", "table", "name", "type")
 
 
 def partitions(table: DataFrame, by: list[str], predicate: str | None = None) -> DataFrame:

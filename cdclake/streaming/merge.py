@@ -1,50 +1,98 @@
-"""Merging a stream of change rows into a snapshot store, batch by batch."""
+"""Merging a stream of change rows into a snapshot store, batch by batch.
+
+The index names each key's partition and is parted by a hash of the key. A batch reads the parts of the index that
+its keys fall into, then the partitions of rows that the index and the batch name, and writes these alone.
+"""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdclake.operators.merge import APPLIED, COMBINED, DataDelayed, Policy, actions, apply, high_water_marks, missing_keys
-from cdclake.sources.store import Conflict, Store
+from cdclake.functions import partition_predicate
+from cdclake.operators.merge import APPLIED, COMBINED, DataDelayed, Policy, actions, apply, high_water_marks, index_of, missing_keys
+from cdclake.operators.tasks import DELAY_HOURS, MOST_ATTEMPTS
+from cdclake.sources.store import BUCKET, Conflict, Store
 
 ATTEMPTS = 3
 
 
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def index_table(store: Store, base: dict, empty: DataFrame, keys: list[str], buckets: list[int] | None = None) -> DataFrame:
+    """The index of a snapshot, or its parts of some buckets."""
+    if "index" not in base["tables"]:
+        return empty.limit(0).select(*keys, "ut", F.lit(True).alias("live"), *store.by)
+    if not base["by"].get("index") or buckets is None:
+        return store.read("index", base=base).drop(BUCKET)
+    return store.read("index", base=base, predicate=partition_predicate([{BUCKET: b} for b in buckets])).drop(BUCKET)
+
+
+def with_bucket(index: DataFrame, store: Store, keys: list[str]) -> DataFrame:
+    return index.withColumn(BUCKET, bucket_of(keys, store.index_buckets))
+
+
+def commit_index(store: Store, fresh: DataFrame, keys: list[str], base: dict, tables: dict[str, DataFrame] | None = None, touched: dict | None = None) -> int:
+    """Publish a whole index, each part sorted by key, with other tables."""
+    every = [(b,) for b in range(store.index_buckets)]
+    return store.commit({"index": with_bucket(fresh, store, keys)} | (tables or {}), {"index": every} | (touched or {}), base=base, by={"index": [BUCKET]}, sort={"index": keys})
+
+
+def rebuild_index(store: Store, keys: list[str], table: str = "rows", predicate: str | None = None) -> int:
+    """An index from the rows of one snapshot; tombstones stay, and entries of what the predicate leaves out."""
+    base = store.manifest()
+    fresh = index_of(store.read(table, predicate=predicate, base=base), keys, store.by)
+    if "index" in base["tables"]:
+        old = index_table(store, base, fresh, keys)
+        fresh = fresh.unionByName(old.join(fresh.select(*keys), keys, "left_anti"))
+    return commit_index(store, fresh, keys, base)
+
+
 def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy = COMBINED, batch_id: str | None = None, table: str = "rows") -> int:
     """Merge a batch (keys, op, ut, seq, values) and commit rows, index and marks as one snapshot; returns its version.
 
-    Partitions that no applied row touches, before or after, keep their files. A batch that is in the store already
-    changes nothing. If another writer commits first, the merge is worked out again on its snapshot.
+    Partitions that no applied row touches, before or after, aren't read and keep their files, as do parts of the
+    index that no key of the batch falls into; a store without partition columns has its rows rewritten whole. Marks
+    are kept for the table and for each partition. A batch that is in the store already changes nothing. If another
+    writer commits first, the merge is worked out again on its snapshot.
     """
     values = [c for c in batch.columns if c not in ("op", "seq")]
+    by = store.by
     for attempt in range(ATTEMPTS):
         base = store.manifest()
-        if batch_id is not None and batch_id in base["batches"]:
+        if store.has_batch(base, batch_id):
             return base["version"]
         empty = batch.limit(0)
-        target = store.read(table, base["version"]) if table in base["tables"] else empty.select(*values)
-        index = store.read("index", base["version"]) if "index" in base["tables"] else empty.select(*keys, "ut", F.lit(True).alias("live"))
+        hit = [r[0] for r in batch.select(bucket_of(keys, store.index_buckets)).distinct().collect()]  # index_buckets numbers at most
+        index = index_table(store, base, empty, keys, hit)
         if policy.name == "update_strict" and not missing_keys(batch, index, keys).isEmpty():
             raise DataDelayed("keys of a strict update aren't there yet")
         acted = actions(batch, index, keys, policy).cache()
         try:
             applied = acted.where(F.col("action").isin(*APPLIED))
-            after, new_index = apply(target, index, acted, keys)
-            marks = high_water_marks(acted, [], store.read("marks", base["version"]) if "marks" in base["tables"] else None)
             touched = None
-            if store.by:
-                old = target.join(applied.select(*keys), keys, "left_semi").select(*store.by)
-                touched = applied.where(F.col("action").isin("insert", "update")).select(*store.by).unionByName(old).distinct().cache()
-                condition = None
-                for c in store.by:
-                    one = F.col(c).eqNullSafe(F.col(f"_t_{c}"))
-                    condition = one if condition is None else condition & one
-                after = after.join(touched.select(*[F.col(c).alias(f"_t_{c}") for c in store.by]), condition, "left_semi")
-            return store.commit({table: after, "index": new_index, "marks": marks}, {table: touched} if touched is not None else None, batch_id, base)
+            if by:
+                fresh = applied.where(F.col("action").isin("insert", "update")).select(*by)
+                old = applied.where(F.col("action").isin("update", "delete") & F.col("x_live")).select(*[F.col(f"x_{c}").alias(c) for c in by])
+                touched = [tuple(r) for r in fresh.unionByName(old).distinct().collect()]  # partition tuples only
+            if table not in base["tables"]:
+                target = empty.select(*values)
+            else:
+                wanted = partition_predicate([dict(zip(by, t, strict=True)) for t in touched]) if by else None
+                target = store.read(table, base=base, predicate=wanted)
+            after, new_index = apply(target, index, acted, keys, by)
+            tables = {table: after, "index": with_bucket(new_index, store, keys)}
+            tables["marks"] = high_water_marks(acted, [], store.read("marks", base=base), policy)
+            if by:
+                tables["partition_marks"] = high_water_marks(acted, by, store.read("partition_marks", base=base), policy)
+            parts = {"index": [(b,) for b in hit]} | ({table: touched} if by else {})
+            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys})
         except Conflict:
             if attempt == ATTEMPTS - 1:
                 raise
@@ -53,10 +101,13 @@ def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
     raise AssertionError("unreachable")
 
 
-def merge_stream(stream: DataFrame, store: Store, keys: list[str], checkpoint: str, policy: Policy = COMBINED, prepare: Callable[[DataFrame], DataFrame] | None = None, every: str | None = None, pending: str | None = None) -> StreamingQuery:
+def merge_stream(
+    stream: DataFrame, store: Store, keys: list[str], checkpoint: str, policy: Policy = COMBINED, prepare: Callable[[DataFrame], DataFrame] | None = None, every: str | None = None, pending: str | None = None
+) -> StreamingQuery:
     """A query that merges each micro-batch; every: the trigger's interval, else all that is there and stop.
 
-    pending: a folder for strict batches whose keys aren't there yet, which redrive() tries again.
+    pending: a folder for strict batches whose keys aren't there yet. After each micro-batch those that are due are
+    tried again (see redrive_due).
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -66,7 +117,9 @@ def merge_stream(stream: DataFrame, store: Store, keys: list[str], checkpoint: s
         except DataDelayed:
             if not pending:
                 raise
-            rows.write.mode("overwrite").parquet(f"{pending}/attempt=0/batch={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{pending}/batch={batch_id}/attempt=0")
+        if pending:
+            redrive_due(store, pending, keys, policy)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
@@ -79,3 +132,28 @@ def redrive(store: Store, pending: DataFrame, keys: list[str], policy: Policy, b
     except DataDelayed:
         return False
     return True
+
+
+def redrive_due(store: Store, pending: str, keys: list[str], policy: Policy, hours: float = DELAY_HOURS, attempts: int = MOST_ATTEMPTS) -> dict[str, bool]:
+    """Try delayed batches again, oldest number first: those that are so old and were tried at most so often.
+
+    A batch that goes in leaves the folder; for another an attempt is counted. Those with more attempts stay there
+    for someone to look at. Returns what was tried and whether it went in.
+    """
+    spark, fs, path = store.spark, store._fs, store._path
+    out = {}
+    if not fs.exists(path(pending)):
+        return out
+    for status in sorted(fs.listStatus(path(pending)), key=lambda s: int(s.getPath().getName().rpartition("=")[2])):
+        batch = status.getPath().toString()
+        (at,) = [s for s in fs.listStatus(status.getPath()) if s.getPath().getName().startswith("attempt=")]
+        tried = int(at.getPath().getName().rpartition("=")[2])
+        if tried > attempts or time.time() * 1000 - status.getModificationTime() < hours * 3_600_000:
+            continue
+        name = status.getPath().getName()
+        out[name] = redrive(store, spark.read.parquet(at.getPath().toString()), keys, policy, f"{pending}/{name}")
+        if out[name]:
+            fs.delete(status.getPath(), True)
+        else:
+            fs.rename(at.getPath(), path(f"{batch}/attempt={tried + 1}"))
+    return out
