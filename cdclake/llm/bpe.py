@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Encoding, Tokenizer, models
 
-from cdclake.llm.common import slices
+from cdclake.llm.common import own_texts, slices
 
 #: Chunks of at least so many characters are encoded by tree concatenation, from leaves of so many characters.
 LONG, LEAF = 512, 128
@@ -167,7 +167,7 @@ class WordBPE:
 
     def encode_texts(self, texts: pa.Array) -> tuple[pa.ListArray, pa.Array]:
         """Token ids and decoded text of each text; null counts as empty."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = own_texts(texts)
         if not self.apart:
             ids = [e.ids for e in self.whole.encode_batch(texts.to_pylist(), add_special_tokens=False)]
             return pa.array(ids, pa.list_(pa.int32())), pa.array([self.whole.decode(i, skip_special_tokens=False) for i in ids], pa.string())

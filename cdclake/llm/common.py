@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,39 +10,27 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdclake.sources.shared import new_path
+
 #: The white space of the text contracts: U+0020 and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where that is unset, a local session (one process, as in tests) takes a folder that goes with it; a cluster has to set it.
-    """
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="cdclake-"))
-        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-    return f"file://{_own_dir[0]}"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/cdclake/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str, compression: str = "snappy", path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts the lineage, and a lost executor costs no rerun."""
     spark = df.sparkSession
-    path = path or new_path(spark, name)
+    path = new_path(spark, name)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete what materialise() wrote for these tables, which nothing may read any more."""
+    for t in tables:
+        if t is not None:
+            delete_path(t.sparkSession, t.written_at)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -89,6 +72,22 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+#: bytes.translate() by this makes A to Z small and leaves other bytes, those of other characters too.
+SMALL = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def own_texts(texts: pa.Array, small: bool = False) -> pa.Array:
+    """An array of texts, perhaps a slice of another, in buffers of its own; null counts as empty. small: A to Z in lower case.
+
+    Arrow's ascii_lower goes wrong on a slice that was cast, so it isn't used.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, edges, data = texts.buffers()
+    edges = np.frombuffer(edges, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    own = data.slice(edges[0], edges[-1] - edges[0]).to_pybytes() if data is not None and len(texts) else b""
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(edges - edges[0]), pa.py_buffer(own.translate(SMALL) if small else own))
+
+
 def slices(b: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with at most so many bytes of text, or of one row."""
     size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
