@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cdclake.llm import language_id, toxicity
 from cdclake.llm.bpe import encode_decode
-from cdclake.llm.common import documents, id_crc, new_path
+from cdclake.llm.common import documents, id_crc
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
 from cdclake.llm.importance import resample
@@ -19,6 +19,7 @@ from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.recurrent_lm import score_texts
 from cdclake.llm.tokens import token_pieces
 from cdclake.llm.training_order import write_shards
+from cdclake.sources.shared import new_path
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

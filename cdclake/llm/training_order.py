@@ -3,7 +3,7 @@
 The permutation is a Feistel network over the least even number of bits that holds all indices; an image beyond the
 last index walks its cycle until it falls inside. A shard holds a range of slots in slot order, each in a record of
 the same size, so the record of slot s begins at (s mod shard_rows) * stride of shard s div shard_rows: readers go
-through shards sequentially and resume anywhere.
+through shards sequentially and resume anywhere. Each shard is written by one task, which gets its range of slots.
 
 A record is the number of ids (unsigned 16 bits), the ids (unsigned 16 bits each, little-endian, filled up with the
 end id) and one line feed. Shards are written by Spark's own text writer, so only committed files appear, in any
@@ -20,8 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import materialise
+from cdclake.llm.common import delete_path, forget, list_path, materialise
 from cdclake.llm.tokens import token_pieces
+from cdclake.sources.shared import new_path
 
 ROUNDS = 6
 
@@ -64,41 +65,55 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out: str, *, sequence_ids
 
     A sequence is a piece of a document (see token_pieces) of at most sequence_ids ids. Returns one row for each:
     doc_id, piece, start, length, ids_crc32 (of the 16-bit ids), slot, shard, byte_offset; slots are 0 to the number
-    of sequences less 1. Shards are written in waves, so that at any time the shuffle takes the disk of one. Null text is one sequence of the end id; an empty table writes no shard. Ids of documents
-    may be null or repeat: equal sequences share their row, which of them gets which slot doesn't matter. Other
-    columns are not read.
+    of sequences less 1. Null and empty texts are one sequence of the end id each, a text of any length is as many
+    sequences as it takes; an empty table writes no shard. Ids of documents may be null or repeat: equal sequences
+    share their row, which of them gets which slot doesn't matter. Other columns are not read. More than 65535
+    sequence_ids, or ids above 65535, raise ValueError.
+
+    The slot of a sequence is worked out once, when it is stored with the others of its wave (a run of shards). Each
+    wave then goes to its shards by one shuffle, a task for each shard, and leaves the store; so the shuffle and the
+    store never hold more than the sequences once. A wave replaces its shards, so that it can be written again, as can
+    the whole: shards beyond the last one that an earlier call left under out go.
     """
+    if not 0 < sequence_ids <= 0xFFFF or not 0 <= end_id <= 0xFFFF:
+        raise ValueError("lengths and ids have 16 bits")
+    spark = docs.sparkSession
     pieces = token_pieces(docs, tokenizer_path, sequence_ids, end_id, id_col, text_col, width=2)
     # numbered by (writing task, place in its output), which the stored table fixes: no shuffle to give out indices
     pieces = pieces.select("*", F.crc32("ids").alias("ids_crc32"), F.monotonically_increasing_id().alias("_to_id"))
+    by_wave = new_path(spark, "order-slots")
     stored = materialise(pieces, "order-sequences", "zstd")
     task = F.shiftrightunsigned("_to_id", 33).alias("_to_task")
     sizes = stored.groupBy(task).agg(F.count(F.lit(1)).alias("rows"))  # a row for each task
     before = (F.sum("rows").over(Window.orderBy("_to_task")) - F.col("rows")).alias("_to_before")
     sizes = materialise(sizes.select("_to_task", "rows", before), "order-tasks")
     total = sizes.agg(F.sum("rows")).first()[0] or 0
+    shards = -(-total // shard_rows)
+    each = -(-shards // waves) or 1
 
     @F.pandas_udf("long")
     def slot_of(index: pd.Series) -> pd.Series:
         return pd.Series(permute(index.to_numpy(), total, key))
 
-    def placed(columns: list[str]) -> DataFrame:
-        own = stored.select(*columns, task, F.col("_to_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_to_own"))
-        out = own.join(sizes.drop("rows"), "_to_task").select(*columns, slot_of(F.col("_to_before") + F.col("_to_own")).alias("slot"))
-        return out.withColumn("shard", F.expr(f"slot div {shard_rows}"))
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    own = stored.select(*names, "ids", task, F.col("_to_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_to_own"))
+    slots = own.join(sizes.drop("rows"), "_to_task").select(*names, "ids", slot_of(F.col("_to_before") + F.col("_to_own")).alias("slot"))
+    slots = slots.withColumn("shard", F.expr(f"slot div {shard_rows}"))
+    slots.withColumn("wave", F.expr(f"cast(shard div {each} as int)")).write.partitionBy("wave").option("compression", "zstd").parquet(by_wave)
+    forget(stored, sizes)
+    index = materialise(spark.read.schema(slots.drop("ids").schema).parquet(by_wave).drop("wave"), "order-index")
 
     hexed = F.lpad(F.hex("length"), 4, "0")
     head = F.unhex(F.concat(F.substring(hexed, 3, 2), F.substring(hexed, 1, 2)))
     record = F.concat(head, F.rpad("ids", 2 * sequence_ids, F.lit(struct.pack("<H", end_id))))
-    shards = -(-total // shard_rows)
-    if shards:
-        rows = placed(["length", "ids"]).select("shard", "slot", record.cast("string").alias("record"))
-        each = -(-shards // waves)
-        for first in range(0, shards, each):
-            wave = rows.where(F.col("shard").between(first, first + each - 1)).repartition(each, "shard").sortWithinPartitions("shard", "slot")
-            wave.drop("slot").write.mode("append").partitionBy("shard").option("maxRecordsPerFile", 0).text(out)
-            docs.sparkSession.sparkContext._jvm.System.gc()  # lets go of the wave's shuffle files
-    index = placed(["doc_id", "piece", "start", "length", "ids_crc32"])
+    for wave, first in enumerate(range(0, shards, each)):
+        rows = spark.read.schema(slots.schema).parquet(f"{by_wave}/wave={wave}").select("shard", "slot", record.cast("string").alias("record"))
+        rows = rows.repartitionById(min(each, shards - first), (F.col("shard") - first).cast("int")).sortWithinPartitions("shard", "slot")
+        rows.drop("slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").option("maxRecordsPerFile", 0).text(out)
+        delete_path(spark, f"{by_wave}/wave={wave}")
+    for name in list_path(spark, out):
+        if name.startswith("shard=") and int(name.removeprefix("shard=")) >= shards:
+            delete_path(spark, f"{out}/{name}")
     return index.withColumn("byte_offset", F.col("slot") % shard_rows * (2 * sequence_ids + 3))
 
 
