@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(flag, **how)
 
     store = [("--store", {"required": True}), ("--by", {"default": "p_y,p_m,p_d"})]
-    add("create-tables", ("--catalog", {"required": True}), ("--table", {}), ("--include-digits", {"action": "store_true"}), ("--execute", {"action": "store_true"}))
+    add("create-tables", ("--catalog", {}), ("--url", {}), ("--query", {}), ("--table", {}), ("--include-digits", {"action": "store_true"}), ("--execute", {"action": "store_true"}))
     add("set-check-time", ("--marks", {"required": True}), ("--out", {"required": True}), ("--db", {"required": True}), ("--table", {"required": True}), ("--partition", {}), ("--time-millis", {"type": int, "required": True}))
     add("rebuild-index", *store, ("--key", {"required": True}), ("--filter", {}))
     add("cat", ("--path", {"required": True}), ("--format", {"default": "parquet"}))
@@ -39,7 +39,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
     if a.operation == "create-tables":
-        made = ddl.statements(spark.read.parquet(a.catalog), a.table.split(",") if a.table else None, a.include_digits)
+        if bool(a.catalog) == bool(a.url and a.query):
+            raise SystemExit("create-tables takes --catalog, a table of columns, or --url and --query of a database that has them")
+        catalog = spark.read.parquet(a.catalog) if a.catalog else files.source_catalog(spark, a.url, a.query)
+        made = ddl.statements(catalog, a.table.split(",") if a.table else None, a.include_digits)
         print(*made.values(), sep=";\n")
         if a.execute:
             ddl.create_tables(spark, made)

@@ -550,6 +550,24 @@ def rows_of_duplicate_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(fn.partition_predicate([r.asDict() for r in found])).select(*LINE_KEYS, "l_shipdate")
 
 
+@query("SELECT DISTINCT year(l_shipdate)::INT AS p_y, month(l_shipdate)::INT AS p_m FROM lineitem WHERE year(l_shipdate) = 1996 AND month(l_shipdate) > 6")
+def listed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.partitions(by_month(spark, sf_dir), ["p_y", "p_m"], "p_y = 1996 and p_m > 6")
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE event_id % 9 <> 0")
+def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON messages as files of a stream; those that can't be read drop out."""
+    folder = new_path(spark, "queue")
+    e = table(spark, sf_dir, "events")
+    task = F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("tbl"), F.col("value").cast("string").alias("filePath"))
+    e.select(F.when(F.col("event_id") % 9 == 0, F.lit("{broken")).otherwise(F.to_json(task)).alias("value")).repartition(3).write.text(f"{folder}/in")
+    stream = tasks.decode(spark.readStream.option("maxFilesPerTrigger", 1).text(f"{folder}/in"), "value")
+    query_ = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query_.awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(F.col("id").cast("bigint").alias("event_id"), F.col("tbl").alias("event_type"), F.col("filePath").cast("double").alias("value"))
+
+
 @query("SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM nation GROUP BY 1")
 def joined_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(fn.joined(F.array_sort(F.collect_list("n_name")), "|").alias("names"))

@@ -100,6 +100,23 @@ def test_create_tables(spark):
         spark.sql("DROP SCHEMA made_here CASCADE")
 
 
+def test_files_per_trigger(spark, tmp_path):
+    """A batch takes so many files; done files go to the archive."""
+    spark.range(40).repartition(4).write.parquet(f"{tmp_path}/in")
+    sizes = []
+    stream = files.staged_stream(spark, f"file://{tmp_path}/in", spark.range(1).schema, files_per_trigger=2, archive=f"file://{tmp_path}/archive")
+    stream.writeStream.foreachBatch(lambda b, n: sizes.append(b.count())).option("checkpointLocation", f"file://{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 2 and sum(sizes) == 40
+
+
+def test_create_tables_by_jdbc(spark, tmp_path):
+    query = "SELECT 'shop1' AS db, 'orders' AS \"TABLE\", 'Create_Time' AS name, 'datetime' AS type FROM SYSIBM.SYSDUMMY1"
+    made = main(["create-tables", "--url", f"jdbc:derby:{tmp_path}/source;create=true", "--query", query], spark)
+    assert list(made) == ["shop.orders"]
+    with pytest.raises(SystemExit):
+        main(["create-tables"], spark)
+
+
 def test_catalog_by_jdbc(spark, tmp_path):
     query = "SELECT 'shop' AS db, t.TABLENAME AS \"TABLE\", c.COLUMNNAME AS name, CAST(c.COLUMNDATATYPE AS VARCHAR(64)) AS type FROM SYS.SYSCOLUMNS c JOIN SYS.SYSTABLES t ON t.TABLEID = c.REFERENCEID"
     found = files.source_catalog(spark, f"jdbc:derby:{tmp_path}/source;create=true", query, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
