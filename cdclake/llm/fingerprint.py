@@ -9,12 +9,13 @@ shingle sets.
 
 from __future__ import annotations
 
+import json
 import random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import SPACE_RUN
+from cdclake.llm.common import SPACE_RUN, materialise
 
 WORDS = 5
 BIN_BITS = 8
@@ -24,9 +25,8 @@ HASH_BITS = 60
 VALUE = (1 << (HASH_BITS - BIN_BITS)) - 1
 #: Bins that an empty bin asks in turn; after these it takes the filled bin of the least hash with its own number.
 PROBES = 12
-#: Rows of one block of the id order.
-BLOCK_ROWS = 1000
-MOST_BLOCKS = 4096
+#: Rows of one block of the id order, up to so many blocks (as many tasks of 1.5 GB as 100 TB have); sampled keys for each block.
+BLOCK_ROWS, MOST_BLOCKS, SAMPLE_EACH = 1000, 65_536, 10
 
 
 def let(value: Column, then) -> Column:
@@ -97,39 +97,42 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprin
 def with_next(rows: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
     """rows with next_<c> for each of columns: the value in the row that follows by descending id; the first follows the last.
 
-    Rows with equal ids follow each other by descending text, null ids come last. The order is cut into blocks at
-    quantiles of the id; each block gets a copy of the row that follows its last one, so no task sees more than a block.
+    Ids are of a type that sorts (whole numbers, strings, dates, decimals). Rows with equal ids, null ones too, follow
+    each other by descending hash of the text, then text; null ids come last. The order is cut into blocks of about
+    BLOCK_ROWS rows at sampled places of (id, hash), so that many rows of one id are more than one block; each block
+    gets a copy of the row that follows its last one, so no task sees more than a block. Columns may not begin with _nx_.
     """
-    ids = rows.select(F.col(id_col).alias("id"))
-    blocks = max(1, min(ids.count() // BLOCK_ROWS, MOST_BLOCKS))
-    cuts = ids.agg(F.percentile_approx("id", [k / blocks for k in range(1, blocks)] or [0.5], 10 * blocks)).first()[0] or []
-    cuts = sorted(set(cuts))
-    # the number of cuts below an id, through groups of cuts; null ids are block 0
+    keyed = rows.withColumn("_nx_key", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")))
+    number = rows.count()
+    blocks = min(-(-number // BLOCK_ROWS), MOST_BLOCKS)
+    sampled = keyed.select("_nx_key").sample(min(1.0, SAMPLE_EACH * blocks / number), 5).toArrow().column(0).to_pylist() if blocks > 1 else []  # about SAMPLE_EACH * MOST_BLOCKS at most
+    sampled.sort(key=lambda k: (k["id"] is not None, k["id"] if k["id"] is not None else 0, k["h"]))
+    cuts = sampled[SAMPLE_EACH // 2 :: SAMPLE_EACH]
+    cuts = [c for k, c in enumerate(cuts) if not k or c != cuts[k - 1]]
+    # the number of cuts below a key, through groups of cuts
     group = max(1, int(len(cuts) ** 0.5))
     groups = [cuts[k : k + group] for k in range(0, len(cuts), group)]
+    kind = keyed.schema["_nx_key"].dataType.simpleString()
 
     def block(of: Column) -> Column:
         if not cuts:
-            return F.when(of.isNull(), 0).otherwise(1)
-        kind = rows.schema[id_col].dataType
-        coarse = F.size(F.filter(F.array([F.lit(g[-1]).cast(kind) for g in groups]), lambda c: c < of))
-        fine = let(F.get(F.array([F.array([F.lit(c).cast(kind) for c in g]) for g in groups]), coarse), lambda own: F.size(F.filter(own, lambda c: c < of)))
-        return F.when(of.isNull(), 0).otherwise(1 + coarse * group + F.when(coarse < len(groups), fine).otherwise(0))
-
-    heads = {r["block"]: r["head"] for r in ids.groupBy(block(F.col("id")).alias("block")).agg(F.max("id").alias("head")).collect()}  # MOST_BLOCKS at most
-    found = sorted(heads)
-    before = {b: found[(k + 1) % len(found)] for k, b in enumerate(found)}  # ids descend: the block before has the greater ids
-    most = max(found, default=0) + 1
-    head_of = F.array([F.lit(heads.get(b)).cast(rows.schema[id_col].dataType) for b in range(most)])
-    before_of = F.array([F.lit(before.get(b, 0)) for b in range(most)])
-
-    own = F.col("_nx_block")
-    placed = rows.withColumn("_nx_block", block(F.col(id_col)))
-    leads = F.get(head_of, own).eqNullSafe(F.col(id_col))
-    placed = placed.withColumn("_nx_to", F.when(leads, F.array(own, F.get(before_of, own))).otherwise(F.array(own)))
-    placed = placed.select(*rows.columns, F.posexplode("_nx_to").alias("_nx_copy", "_nx_in"))
-    order = Window.partitionBy("_nx_in").orderBy("_nx_copy", F.col(id_col).desc_nulls_last(), F.col(text_col).desc())
-    return placed.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).where("_nx_copy = 0").drop("_nx_copy", "_nx_in")
+            return F.lit(0)
+        lasts = F.from_json(F.lit(json.dumps([g[-1] for g in groups], default=str)), f"array<{kind}>")
+        all_cuts = F.from_json(F.lit(json.dumps(groups, default=str)), f"array<array<{kind}>>")
+        coarse = F.size(F.filter(lasts, lambda c: c < of))
+        fine = let(F.get(all_cuts, coarse), lambda own: F.size(F.filter(own, lambda c: c < of)))
+        return coarse * group + F.when(coarse < len(groups), fine).otherwise(0)
+
+    placed = keyed.withColumn("_nx_block", block(F.col("_nx_key")))
+    heads = placed.groupBy("_nx_block").agg(F.max("_nx_key").alias("_nx_head"))  # MOST_BLOCKS rows at most
+    after = F.coalesce(F.lead("_nx_block").over(Window.orderBy("_nx_block")), F.min("_nx_block").over(Window.partitionBy()))
+    heads = materialise(heads.withColumn("_nx_before", after), "next-heads")  # ids descend: the block before has the greater ids
+    placed = placed.join(F.broadcast(heads), "_nx_block")
+    leads = F.col("_nx_key") == F.col("_nx_head")
+    to = F.when(leads, F.array("_nx_block", "_nx_before")).otherwise(F.array("_nx_block"))
+    placed = placed.select(*[F.col(f"`{c}`") for c in rows.columns], "_nx_key", F.posexplode(to).alias("_nx_copy", "_nx_in"))
+    order = Window.partitionBy("_nx_in").orderBy("_nx_copy", F.col(id_col).desc_nulls_last(), F.col("_nx_key.h").desc(), F.col(text_col).desc())
+    return placed.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).where("_nx_copy = 0").drop("_nx_copy", "_nx_in", "_nx_key")
 
 
 def edited_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -137,7 +140,9 @@ def edited_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Returns doc_id, n_chars, edited (the text whose last third is replaced by the next document's beginning),
     fingerprint, edited_fingerprint, near_edited, near_next. The next document is that of with_next. Null text counts
-    as empty; a single document follows itself. Other columns are not read.
+    as empty; a single document follows itself; rows that share an id are documents of their own, and rows that repeat
+    id and text follow each other. Texts of any length count whole. An empty table gives an empty result. Other columns
+    are not read.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marked = base.withColumn("mark", signature(F.col("text")))
