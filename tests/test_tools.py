@@ -5,6 +5,9 @@ from __future__ import annotations
 import datetime
 import json
 import os
+import time
+import urllib.error
+import urllib.request
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from cdclake.sources import files
 from cdclake.sources.store import Store
 from cdclake.streaming.ingest import change_batch, ingest, run_until
 from cdclake.streaming.merge import merge_batch
+from cdclake.streaming.monitor import Counters, serve
 from cdclake.streaming.tasks import consume, publish
 from tests.conftest import SMALL
 
@@ -155,6 +159,34 @@ def test_ingest_of_two_databases(spark, tmp_path):
     assert not any(q.isActive for q in running.values())
 
 
+def test_counters_over_http(spark, tmp_path):
+    counters = Counters()
+    spark.streams.addListener(counters)
+    server = serve(counters)
+    try:
+        spark.range(7).write.parquet(f"{tmp_path}/in")
+        stream = files.staged_stream(spark, f"file://{tmp_path}/in", spark.range(1).schema)
+        stream.writeStream.queryName("seven").foreachBatch(lambda b, n: b.count()).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        deadline = time.time() + 30
+        while ("seven", "ends") not in counters.found and time.time() < deadline:
+            time.sleep(0.1)
+        shown = urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}/metrics").read().decode()
+        assert 'cdclake_rows{query="seven"} 7\n' in shown and 'cdclake_batches{query="seven"} 1\n' in shown
+        with pytest.raises(urllib.error.HTTPError):
+            urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}/")
+    finally:
+        spark.streams.removeListener(counters)
+        server.shutdown()
+
+
+def test_index_files_are_sorted(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}", index_buckets=2)
+    merge_batch(store, spark.createDataFrame([(k * 7919 % 1000, "c", 1, k) for k in range(500)], "k bigint, op string, ut bigint, seq bigint"), ["k"])
+    for file in store.read("index").inputFiles():
+        keys = [r.k for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys) and keys
+
+
 def test_table_size(spark):
     table = spark.read.parquet(f"{SMALL}/nation.parquet")
     assert metrics.table_megabytes(table) == pytest.approx(os.path.getsize(f"{SMALL}/nation.parquet") / 1024**2)
