@@ -92,7 +92,7 @@ def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
             if by:
                 tables["partition_marks"] = high_water_marks(acted, by, store.read("partition_marks", base=base), policy)
             parts = {"index": [(b,) for b in hit]} | ({table: touched} if by else {})
-            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys})
+            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys} | ({table: keys} if by else {}))
         except Conflict:
             if attempt == ATTEMPTS - 1:
                 raise

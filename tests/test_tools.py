@@ -179,10 +179,10 @@ def test_counters_over_http(spark, tmp_path):
         server.shutdown()
 
 
-def test_index_files_are_sorted(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}", index_buckets=2)
-    merge_batch(store, spark.createDataFrame([(k * 7919 % 1000, "c", 1, k) for k in range(500)], "k bigint, op string, ut bigint, seq bigint"), ["k"])
-    for file in store.read("index").inputFiles():
+def test_files_are_sorted_by_key(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}", ["p"], index_buckets=2)
+    merge_batch(store, spark.createDataFrame([(k * 7919 % 1000, "c", 1, k, k % 2) for k in range(500)], "k bigint, op string, ut bigint, seq bigint, p int"), ["k"])
+    for file in [*store.read("index").inputFiles(), *store.read("rows").inputFiles()]:
         keys = [r.k for r in spark.read.parquet(file).collect()]
         assert keys == sorted(keys) and keys
 
