@@ -33,7 +33,7 @@ def hash128(norm: Column) -> Column:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", content_hash: Callable[[Column], Column] = hash128) -> DataFrame:
-    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256, n_chars (code points of the original).
 
     Null text counts as empty, and empty texts are one group. The row with the most code points in its original
     text stays, then the one with the smallest id (of any type that sorts); a null id loses against any other. Rows
@@ -74,6 +74,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.when(grouped, leads).otherwise(F.lit(True)).alias("kept"),
         "text_sha256",
+        F.col("n").cast("long").alias("n_chars"),
     )
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import materialise
+from cdclake.llm.common import forget, join_counted, materialise
 
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES = 64
@@ -31,8 +31,10 @@ BUCKET = 512
 DEPTH = 5
 #: A bucket isn't split if a part of it would keep this share.
 DENSE = 0.6
-#: Sketch estimates below this can't be links (five standard deviations); sets of fewer shingles aren't estimated.
-MAYBE, ESTIMATED = 0.55, 100
+#: A pair of sets of ESTIMATED shingles or more goes to exact verification if so many of its coordinates agree. Of a
+#: pair at the threshold 51.2 do, with a standard deviation of 3.3 (few bins are empty), so that less than one pair in
+#: a million is lost here; it is part of what RECALL leaves out. Smaller sets all go to exact verification.
+MAYBE, ESTIMATED, LOST = 0.5, 256, 1e-6
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -102,7 +104,7 @@ def runs() -> int:
     q = 1.0
     for _ in range(50):  # a pair goes on if some coordinate agrees and the pair goes on below
         q = 1 - (1 - THRESHOLD * q) ** PICKS
-    return math.ceil(math.log(1 - RECALL) / math.log(1 - q))
+    return math.ceil(math.log(1 - RECALL - LOST) / math.log(1 - q))
 
 
 def children(nodes: np.ndarray, sketches: np.ndarray, picks: int) -> np.ndarray:
@@ -224,8 +226,8 @@ def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def units(rows: DataFrame) -> DataFrame:
     """(node, sid, ...) to units of comparison: a bucket of at most BUCKET sets is one, a larger one is cut into pairs of blocks."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).select("node", F.ceil(F.col("rows") / BUCKET).cast("int").alias("blocks"))
-    sized = rows.join(sizes.where("blocks > 1"), "node", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > BUCKET)
+    sized = join_counted(rows, sizes, "node", "rows", rows.count(), "left").withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / BUCKET).cast("int"), F.lit(1)))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
@@ -233,18 +235,26 @@ def units(rows: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(sid, label) for every sid in edges (sid, root): the least sid that it is connected with."""
+    """(sid, label) for every sid in edges (sid, root): the least sid that it is connected with. A sid or label of many rows is dealt over many tasks."""
     both = edges.select("sid", F.col("root").alias("to")).union(edges.select(F.col("root").alias("sid"), F.col("sid").alias("to"))).where("sid <> to").distinct()
     both = materialise(both, "join-edges")
-    label = materialise(both.groupBy("sid").agg(F.least(F.col("sid"), F.min("to")).alias("label")), "join-labels")
+    total = both.count()
+    # edges go both ways, so as many come from a sid as lead to it
+    before = materialise(both.groupBy("sid").agg(F.least(F.col("sid"), F.min("to")).alias("label"), F.count(F.lit(1)).alias("edges")), "join-labels")
+    label = before
+    number = label.count()
     while True:
-        near = both.join(label.withColumnRenamed("sid", "to"), "to").groupBy("sid").agg(F.min("label").alias("near"))
-        low = label.join(near, "sid").select("sid", "label", F.least("label", "near").alias("low"))
-        jump = label.select(F.col("sid").alias("low"), F.col("label").alias("far"))
-        after = materialise(low.join(jump, "low").select("sid", F.least("low", "far").alias("label"), (F.least("low", "far") < F.col("label")).alias("moved")), "join-labels")
+        near = join_counted(both, label.withColumnRenamed("sid", "to"), "to", "edges", total).groupBy("sid").agg(F.min("label").alias("near"))
+        low = materialise(label.join(near, "sid").select("sid", "edges", "label", F.least("label", "near").alias("low")), "join-lows")
+        jump = low.groupBy("low").agg(F.count(F.lit(1)).alias("rows")).join(label.select(F.col("sid").alias("low"), F.col("label").alias("far")), "low")
+        after = join_counted(low, jump, "low", "rows", number)
+        after = materialise(after.select("sid", "edges", F.least("low", "far").alias("label"), (F.least("low", "far") < F.col("label")).alias("moved")), "join-labels")
         label = after.drop("moved")
+        forget(low, before)
+        before = after
         if after.where("moved").isEmpty():
-            return label
+            forget(both)
+            return label.drop("edges")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,8 +263,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_links: other rows whose shingle set has a likeness of 0.8 or more, those with the same set included. class_id:
     the least doc_id of the rows connected through links (null if they have none but null). set_id: the least doc_id
     with the same set. kept: marks one row of each class, of its least doc_id (rows that repeat id and text are marked
-    alike); text_md5, of the text, tells rows apart that share an id. Texts without words (null too) have the empty set, alike among themselves only. Repeated rows
-    count each. An empty table gives an empty result. Other columns are not read.
+    alike); text_md5, of the text, tells rows apart that share an id. Texts without words (null too) have the empty
+    set, alike among themselves only. Repeated rows count each. Texts of any length count whole. An empty table gives
+    an empty result. Other columns are not read.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary")).alias("text_md5"))
     kind = base.schema["doc_id"].dataType.simpleString()
@@ -294,27 +305,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shape = "node long, parent long, sid long"
     level = sets.where("n > 0").select("sid", "sketch").mapInArrow(first, shape)
     above: DataFrame | None = None  # the rows of buckets that this level split
+    spent = []
     for depth in range(DEPTH + 1):
         level = materialise(level, "join-level")
-        sizes = materialise(level.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.first("parent").alias("parent")).where("rows > 1"), "join-sizes")
+        spent.append(level)
+        sizes = counted = materialise(level.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.first("parent").alias("parent")).where("rows > 1"), "join-sizes")
         if above is not None:
             # a bucket that keeps most of its rows in a part stays whole
             parents = above.groupBy("node").agg(F.count(F.lit(1)).alias("all"))
-            dense = sizes.groupBy("parent").agg(F.max("rows").alias("most")).join(parents.withColumnRenamed("node", "parent"), "parent").where(F.col("most") > F.col("all") * DENSE).select("parent")
+            dense = sizes.groupBy("parent").agg(F.max("rows").alias("most")).join(parents.withColumnRenamed("node", "parent"), "parent").where(F.col("most") > F.col("all") * DENSE).select("parent", "all")
             dense = materialise(dense, "join-dense")
-            leaves = leaves.unionByName(above.join(dense.withColumnRenamed("parent", "node"), "node", "left_semi"))
+            spent.append(dense)
+            leaves = leaves.unionByName(join_counted(above, dense.withColumnRenamed("parent", "node"), "node", "all", above.count()).drop("all"))
             sizes = sizes.join(dense, "parent", "left_anti")
+        spent.append(counted)
         last = depth == DEPTH
-        full = level.drop("parent").join(sizes.select("node", "rows"), "node")
+        full = join_counted(level.drop("parent"), sizes.select("node", "rows"), "node", "rows", level.count())
         done = full.where(F.lit(True) if last else F.col("rows") <= BUCKET).drop("rows")
         leaves = done if leaves is None else leaves.unionByName(done)
         if last:
             break
         above = materialise(full.where(F.col("rows") > BUCKET).select("node", "sid"), "join-large")
+        spent.append(above)
         if above.isEmpty():
             break
         level = above.join(sets.select("sid", "sketch"), "sid").select("node", "sid", "sketch").mapInArrow(below, shape)
     leaves = materialise(leaves.select("node", "sid").distinct(), "join-leaves")
+    forget(*spent)
 
     lists = leaves.groupBy("sid").agg(F.collect_list("node").alias("leaves"))  # a few for each set
     known = materialise(lists.join(sets.select("sid", "n", "members", "sketch"), "sid"), "join-known")
@@ -325,6 +342,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return asked.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, out)
 
     near = materialise(compared(leaves, known, ["sketch"], likely, "node long, sid long").distinct(), "join-likely")
+    forget(leaves)
 
     wanted = near.select("sid").distinct().join(sets.select("sid", "key", "set_id"), "sid")
     texts = base.join(wanted.select(F.col("set_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
@@ -339,16 +357,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     hashes = texts.mapInArrow(exact, "key binary, hashes binary").join(wanted.select("key", "sid"), "key").dropDuplicates(["sid"]).select("sid", "hashes")
     hashes = materialise(known.drop("sketch").join(hashes, "sid"), "join-exact")
+    forget(known)
     found = materialise(compared(near, hashes, ["members", "hashes"], links, "sid long, links long, root long"), "join-links")
+    forget(near, hashes)
 
     label = components(found.select("sid", "root"))
     number = found.groupBy("sid").agg(F.sum("links").alias("links"))
     named = sets.select("sid", "key", "set_id", "members").join(number, "sid", "left").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    first_of = named.groupBy("label").agg(F.min(F.struct(F.col("set_id").isNull().alias("none"), "set_id", "sid")).alias("first"))
-    named = named.join(first_of, "label").select("key", "set_id", F.col("first.set_id").alias("class_id"), (F.col("first.sid") == F.col("sid")).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
+    labelled = named = materialise(named, "join-labelled")
+    forget(sets, found)
+    first_of = named.groupBy("label").agg(F.min(F.struct(F.col("set_id").isNull().alias("none"), "set_id", "sid")).alias("first"), F.count(F.lit(1)).alias("sets"))
+    named = join_counted(named, first_of, "label", "sets", named.count()).select("members", "key", "set_id", F.col("first.set_id").alias("class_id"), (F.col("first.sid") == F.col("sid")).alias("leads"), (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
     # of rows with the leading set and the least id, one text stays
     texts = rows.groupBy("key", "doc_id").agg(F.min("text_md5").alias("least_md5"))
     named = named.join(texts.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & F.col("set_id").eqNullSafe(F.col("doc_id")) & F.col("leads"), "left")
-    named = materialise(named.select("key", "set_id", "class_id", "leads", "n_links", "least_md5"), "join-named")
+    named = materialise(named.select("key", "members", "set_id", "class_id", "leads", "n_links", "least_md5"), "join-named")
+    forget(labelled)
     kept = F.col("leads") & F.col("doc_id").eqNullSafe(F.col("set_id")) & (F.col("text_md5") == F.col("least_md5"))
-    return rows.select("doc_id", "text_md5", "key").join(named, "key").select("doc_id", "class_id", "n_links", "set_id", kept.alias("kept"), "text_md5")
+    return join_counted(rows.select("doc_id", "text_md5", "key"), named, "key", "members", rows.count()).select("doc_id", "class_id", "n_links", "set_id", kept.alias("kept"), "text_md5")

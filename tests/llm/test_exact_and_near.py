@@ -11,7 +11,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import cdclake.llm.exact_dedup as E
 import cdclake.llm.jaccard_join as J
+from cdclake.llm.common import join_counted
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.queries import OP9_SQL
 from tests.conftest import SMALL
@@ -39,14 +41,15 @@ def brute_exact(rows):
 def test_exact_dedup(spark, weak):
     hashed = {"content_hash": lambda c: F.unhex(F.substring(F.md5(c.cast("binary")), 1, 1))} if weak else {}  # collides a lot
     got = exact_dedup(with_extras(spark, ODD), **hashed)
-    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
-    assert sorted(map(tuple, got.collect()), key=str) == brute_exact(ODD)
+    assert got.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_chars"]
+    assert sorted(map(tuple, got.drop("n_chars").collect()), key=str) == brute_exact(ODD)
+    assert sorted(r.n_chars for r in got.collect()) == sorted(len(t or "") for _, t in ODD)
     assert exact_dedup(with_extras(spark, [])).count() == 0
 
 
 def test_exact_dedup_hot_group(spark):
     rows = [(i, "same text" if i % 2 else f"text {i}") for i in range(4000)]
-    assert sorted(map(tuple, exact_dedup(with_extras(spark, rows)).collect()), key=str) == brute_exact(rows)
+    assert sorted(map(tuple, exact_dedup(with_extras(spark, rows)).drop("n_chars").collect()), key=str) == brute_exact(rows)
 
 
 def test_exact_dedup_sql(spark):
@@ -110,6 +113,48 @@ def test_near_duplicates(spark, monkeypatch, bucket):
     assert set(kept) == {r.class_id for r in got} and set(kept.values()) == {1}
 
 
+@pytest.mark.parametrize("breaks", [1, 6])
+def test_recall_at_the_threshold(spark, breaks):
+    """Pairs of likeness 0.8 exactly, of 45 and 270 shingles: the larger ones pass the sketches' estimate too."""
+    draw = random.Random(breaks)
+    rows = []
+    for pair in range(600):
+        words = [f"{draw.getrandbits(40):x}" for _ in range(45 * breaks + 4)]
+        other = list(words)
+        for k in range(breaks):
+            other[len(words) * (2 * k + 1) // (2 * breaks)] = "changed"
+        assert len(shingles(" ".join(words)) & shingles(" ".join(other))) == 40 * breaks
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(other))]
+    got = J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sum(r.n_links for r in got if r.doc_id % 2)
+    assert found >= 0.999 * 600 and all(r.class_id >= r.doc_id - 1 for r in got)
+
+
+def test_texts_of_any_length_and_ids_of_any_kind(spark):
+    long = " ".join(f"w{k % 9000}" for k in range(200_000))
+    rows = [("b", long), ("a", long + " end"), ("c", long.replace(" ", "\n")), (None, long), ("d", ""), ("", None)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(frame).collect()}
+    assert got == {"b": ("b", 3, True), "a": ("a", 1, True), "c": ("b", 3, False), None: ("b", 3, False), "d": ("", 2, False), "": ("", 2, True)}
+    near = {r.doc_id: r.class_id for r in J.near_duplicates(frame).collect()}
+    assert near == {"b": "a", "a": "a", "c": "a", None: "a", "d": "", "": ""}
+
+
+def test_exact_dedup_of_many_groups(spark, monkeypatch):
+    """More groups than are sent to all executors, with a hot one among them."""
+    monkeypatch.setattr(E, "FEW_GROUPS", 3)
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i % 700}") for i in range(6000)]
+    assert sorted(map(tuple, exact_dedup(with_extras(spark, rows)).drop("n_chars").collect()), key=str) == brute_exact(rows)
+
+
+def test_join_of_hot_keys(spark):
+    rows = spark.range(5000).selectExpr("id", "if(id % 2 = 0, 'hot', cast(id % 50 as string)) AS k")
+    few = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k <> '7'")
+    assert join_counted(rows, few, "k", "n", 5000).count() == 5000 - 100
+    left = join_counted(rows, few, "k", "n", 5000, "left")
+    assert left.columns == ["k", "id", "n"] and left.count() == 5000 and left.where("n is null").count() == 100
+
+
 def test_near_duplicates_empty(spark):
     assert J.near_duplicates(with_extras(spark, [])).count() == 0
     got = J.near_duplicates(with_extras(spark, [(None, "a b"), (None, "a b"), (2, None)])).collect()
