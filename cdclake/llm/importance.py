@@ -56,7 +56,9 @@ def bucket_shares(texts: DataFrame) -> np.ndarray:
 def log_weights(docs: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with log_weight double, which replaces a column of that name; good: ids of target texts, one column.
 
-    Null text counts as empty, whose weight is 0. Without good texts every weight is 0. Equal texts weigh alike.
+    Null text counts as empty, whose weight is 0. Without good texts every weight is 0. Equal texts weigh alike,
+    repeated rows each for themselves; an id that is there twice in good counts once. Texts of any length are weighed
+    whole. An empty table gives an empty result. Columns may have any names but `_id`.
     """
     docs = docs.drop("log_weight")
     known = good.select(F.col(good.columns[0]).alias("_id")).where("_id is not null").distinct()
@@ -101,7 +103,8 @@ def resample(docs: DataFrame, good: DataFrame, share: float, seed: int = 1, id_c
     """One row for each row of docs: doc_id, log_weight, gumbel_key, selected.
 
     selected marks the round(share * rows) greatest keys; rows that tie with the last of them are selected too. The
-    noise depends on seed and id only, so rows that share an id share it. An empty table gives an empty result.
+    noise depends on seed and id only, so rows that share an id (or have none) share it. An empty table gives an empty
+    result. Other columns of docs are not read; texts of any length count whole.
     """
     weighed = log_weights(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), good, "doc_id", "text")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1 << 52)) + 0.5) / float(1 << 52)

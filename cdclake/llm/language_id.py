@@ -7,7 +7,6 @@ fitted on sampled rows that the learner hasn't seen. Scoring is one pass over wh
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,15 +15,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdclake.llm.common import forget, materialise
 from cdclake.llm.ngrams import bucket_counts
 
 SIZES, BITS = (1, 2, 3), 15
-#: The learner's sample: about so many rows of each language; every language in the training rows is learned.
-SAMPLE_EACH = 1000
+#: The learner's sample: about so many rows of each language, and of all languages as many as have so many bytes of
+#: features (the bound holds the driver's memory; four languages of common texts take 20 MB). Every language in the
+#: training rows is learned.
+SAMPLE_EACH, SAMPLE_BYTES = 1000, 256 << 20
 #: FTRL: learning rate, its offset, L1, L2, passes over the sample; one row in CALIBRATE serves for the temperature.
 ALPHA, BETA, L1, L2, PASSES, CALIBRATE = 0.5, 1.0, 0.02, 0.01, 3, 5
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -42,13 +43,18 @@ class LanguageModel:
         return x @ self.weights[at] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not text or not LETTER.search(text):
+        if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         p = softmax(self.logits(*self.vector(text)) / self.temperature)
         k = int(p.argmax())
         return self.languages[k], float(p[k])
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether some character is of Unicode's category L; numbers such as ½ and ² are not."""
+    return any(map(str.isalpha, text or ""))
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(-1, keepdims=True))
     return e / e.sum(-1, keepdims=True)
@@ -104,7 +110,13 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(train: DataFrame, text_col: str, lang_col: str, key: Column) -> LanguageModel:
-    """The model of rows with text and language; key: decides who is in the sample, the same in each run."""
+    """The model of rows with text and language; key: decides who is in the sample, the same in each run.
+
+    Rows without text or language don't teach; an empty text counts as one of its language. Rows that repeat each
+    count, and share their draw if they share the key (rows with a null key are one draw). Without any row to learn
+    from the model knows no language. A text of any length is one vector of 2**BITS numbers at most. Other columns
+    are not read.
+    """
     rows = train.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << 30)).alias("draw"))
     rows = rows.where("text is not null and lang is not null")
     sizes = rows.groupBy("lang").count().orderBy("lang").collect()  # a row for each language
@@ -139,8 +151,13 @@ def fit(train: DataFrame, text_col: str, lang_col: str, key: Column) -> Language
                 found = [tfidf(text, idf) for text in b.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([a.astype("<u2").tobytes() for a, _ in found], pa.binary()), pa.array([x.astype("<f4").tobytes() for _, x in found], pa.binary())], ["lang", "draw", "at", "x"])
 
-    drawn = sample.mapInArrow(vectors, "lang string, draw long, at binary, x binary").collect()  # about SAMPLE_EACH rows of each language
-    drawn = sorted(((r["draw"], place[r["lang"]], np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f4")) for r in drawn), key=lambda r: (r[0], r[1], len(r[2])))
+    written = drawn = materialise(sample.mapInArrow(vectors, "lang string, draw long, at binary, x binary"), "language-sample")
+    size = drawn.agg(F.sum(F.octet_length("at") + F.octet_length("x"))).first()[0] or 0
+    if size > SAMPLE_BYTES:
+        drawn = drawn.where(F.col("draw") < limits[F.col("lang")] * (SAMPLE_BYTES / size))
+    # a file at a time: the driver holds the sample once
+    drawn = sorted(((r["draw"], place[r["lang"]], np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f4")) for r in drawn.toLocalIterator()), key=lambda r: (r[0], r[1], len(r[2])))
+    forget(written)
     learned = [(a, x, y) for k, (_, y, a, x) in enumerate(drawn) if k % CALIBRATE]
     kept = [(a, x, y) for k, (_, y, a, x) in enumerate(drawn) if k % CALIBRATE == 0]
     weights, bias = learn(learned, len(languages))
@@ -153,7 +170,9 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     """docs with lang_pred string and score double, which replace columns of these names.
 
     lang_pred is `und`, with score 0, where text is null or has no letter (and everywhere, if the model knows no
-    language). Equal texts get equal answers.
+    language). Of languages that tie the first in the alphabet is named. Equal texts get equal answers, repeated rows
+    each their own. An empty table gives an empty result. Texts of any length are scored whole. Columns may have any
+    names but `_language_id_`, which is taken.
     """
     docs = docs.drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers for each language
@@ -166,4 +185,4 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
         return pd.DataFrame({"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
 
     names = docs.columns
-    return docs.select("*", answer(F.col(text_col)).alias("_li")).select(*names, "_li.lang_pred", "_li.score")
+    return docs.select("*", answer(F.col(text_col)).alias("_language_id_")).select(*[F.col(f"`{c}`") for c in names], "_language_id_.lang_pred", "_language_id_.score")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import materialise
+from cdclake.llm.common import forget, materialise
 from cdclake.llm.ngrams import Presence
 
 SIZES, BITS = (4, 5, 6), 20
@@ -65,7 +65,10 @@ def learn(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> Toxicity
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """The model of docs' texts that have a label. Which rows are in the sample is the same in each run.
 
-    Rows without id, text or label don't teach; with one label only, every score is that label's share.
+    Rows without id, text or label don't teach; with one label only, every score is that label's share, and 0 (as
+    good as) without any label. An id that several rows of docs have teaches with each of them, one with both labels
+    in labels teaches both; a label that is there twice counts once. A text of any length is one vector of 2**BITS
+    numbers at most. Other columns are not read.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
     known = known.withColumn("draw", F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)))
@@ -83,6 +86,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     sample = materialise(texts.select("id", "text", "y", "draw").mapInArrow(features, "y int, draw long, at binary"), "toxicity-sample", "zstd")
     drawn = [(r["draw"], r["y"], r["at"]) for r in sample.toLocalIterator()]  # a file at a time: the driver holds the sample once
+    forget(sample)
     drawn.sort()
     y = np.array([r[1] for r in drawn], int)
     weight = np.array([1 / limits[k] for k in y])
@@ -90,7 +94,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """docs with score double, which replaces a column of that name. Null text counts as empty; equal texts score alike."""
+    """docs with score double, which replaces a column of that name.
+
+    Null text counts as empty; equal texts score alike, repeated rows each for themselves. Texts of any length are
+    scored whole. An empty table gives an empty result. Columns may have any names.
+    """
     docs = docs.drop("score")
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers
 
