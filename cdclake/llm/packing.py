@@ -26,8 +26,8 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     Best-fit decreasing over counts. Sequences of like filling are one range of sequence numbers, so the work and the
     plan grow with the number of distinct lengths only.
     """
-    if bad := [n for n in counts if not 1 <= n <= capacity]:
-        raise ValueError(f"lengths {sorted(bad)[:5]} aren't in 1 to {capacity}")
+    if bad := [n for n in counts if n is None or not 1 <= n <= capacity]:
+        raise ValueError(f"lengths {sorted(bad, key=str)[:5]} aren't in 1 to {capacity}")
     open_rooms: list[int] = []  # rooms that some sequences have, ascending
     ranges: dict[int, list[tuple[int, int]]] = defaultdict(list)  # by room: (first sequence, sequences)
     slots, next_sequence = [], 0
@@ -68,15 +68,17 @@ def pack_best_fit(items: DataFrame, capacity: int, length_col: str = "length") -
     """items with sequence_id long and offset long: each item's place in sequences of at most capacity.
 
     Offsets in a sequence leave no gap from 0 on. Lengths must be in 1 to capacity (else ValueError). Items that are
-    equal in all columns are told apart, which gets which slot doesn't matter. An empty table gives an empty result.
+    equal in all columns are told apart, which gets which slot doesn't matter. Other columns may hold nulls; a null
+    length is not in 1 to capacity. An empty table gives an empty result.
     Columns named sequence_id or offset are replaced; names that begin with _pk_ are taken. items is written once.
     """
     spark = items.sparkSession
     items = items.drop("sequence_id", "offset")
-    items = materialise(items.withColumn("_pk_length", F.col(length_col).cast("long")), "pack-items")
-    buckets = max(LEAST_BUCKETS, items.count() // BUCKET_ROWS)
     names = items.columns
-    bucketed = items.withColumn("_pk_bucket", F.pmod(F.xxhash64(*names), F.lit(buckets)))
+    # the stored table fixes a number for each row, so that equal rows are dealt evenly too
+    items = materialise(items.withColumns({"_pk_length": F.col(length_col).cast("long"), "_pk_row": F.monotonically_increasing_id()}), "pack-items")
+    buckets = max(LEAST_BUCKETS, items.count() // BUCKET_ROWS)
+    bucketed = items.withColumn("_pk_bucket", F.pmod(F.xxhash64("_pk_row"), F.lit(buckets)))
 
     by_bucket = bucketed.groupBy("_pk_length", "_pk_bucket").agg(F.count(F.lit(1)).alias("_pk_rows"))
     before = F.sum("_pk_rows").over(Window.partitionBy("_pk_length").orderBy("_pk_bucket")) - F.col("_pk_rows")
@@ -84,7 +86,7 @@ def pack_best_fit(items: DataFrame, capacity: int, length_col: str = "length") -
     counts = {r["_pk_length"]: r["n"] for r in by_bucket.groupBy("_pk_length").agg(F.sum("_pk_rows").alias("n")).collect()}  # capacity rows at most
 
     slots = spark.createDataFrame(plan(counts, capacity), "_pk_of long, _pk_lo long, _pk_hi long, _pk_each long, _pk_first long, _pk_at long")
-    own = F.row_number().over(Window.partitionBy("_pk_length", "_pk_bucket").orderBy(*names)) - 1
+    own = F.row_number().over(Window.partitionBy("_pk_length", "_pk_bucket").orderBy("_pk_row")) - 1
     ranked = bucketed.withColumn("_pk_own", own).join(by_bucket.drop("_pk_rows"), ["_pk_length", "_pk_bucket"])
     ranked = ranked.withColumn("_pk_rank", F.col("_pk_own") + F.col("_pk_before"))
     placed = ranked.join(
@@ -94,4 +96,4 @@ def pack_best_fit(items: DataFrame, capacity: int, length_col: str = "length") -
     nth = F.col("_pk_rank") - F.col("_pk_lo")
     sequence = (F.col("_pk_first") + F.expr("(_pk_rank - _pk_lo) div _pk_each")).cast("long")
     offset = F.col("_pk_at") + (nth % F.col("_pk_each")) * F.col("_pk_length")
-    return placed.select(*[c for c in names if c != "_pk_length"], sequence.alias("sequence_id"), offset.cast("long").alias("offset"))
+    return placed.select(*[F.col(f"`{c}`") for c in names], sequence.alias("sequence_id"), offset.cast("long").alias("offset"))
