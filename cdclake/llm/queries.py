@@ -80,7 +80,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir))
+    return exact_dedup(documents(spark, sf_dir)).drop("n_chars")
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op5_one_permutation: the edited texts."""
+    return op5_one_permutation(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op8_recurrent_lm: counts and the add-one score."""
+    return op8_recurrent_lm(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 4))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -95,6 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_recurrent_lm": op8_recurrent_lm,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_toxicity": op10_toxicity,
+        "edited_texts": edited_texts,
+        "token_counts": token_counts,
     }
 
 
@@ -132,5 +144,30 @@ FROM s JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 
+EDITED_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS x, length(t) // 3 AS cut FROM d)
+SELECT doc_id, length(t) AS n_chars, sha256(substr(t, 1, length(t) - cut) || substr(x, 1, cut)) AS edited_sha256 FROM n
+"""
+
+
+#: crc32 of the id as text, bit by bit.
+ID_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::UBIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0::UBIGINT FOR i IN range(8)]), lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT)"""
+
+TOKENS_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, {ID_CRC_SQL} % 7 = 2 AS held_out,
+         list_append(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), '') AS w
+  FROM documents
+), t AS (SELECT doc_id, held_out, unnest(w) AS w FROM d),
+c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+s AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM c)
+SELECT doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(c.c) AS n_known, any_value(s.n) AS train_tokens,
+       round(sum(log10((coalesce(c.c, 0) + 1) / (s.n + s.v + 1))), 4) AS base_score
+FROM t LEFT JOIN c USING (w) CROSS JOIN s GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}

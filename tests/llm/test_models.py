@@ -6,14 +6,17 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import cdclake.llm.fingerprint as fp
 import cdclake.llm.recurrent_lm as R
 from cdclake.llm import importance, language_id, toxicity
-from cdclake.llm.common import id_crc
+from cdclake.llm.common import id_crc, slices
 from cdclake.llm.fingerprint import edited_comparison, fingerprints
 from tests.conftest import SMALL
 from tests.llm.test_exact_and_near import shingles
@@ -78,6 +81,26 @@ def test_fingerprints_odd(spark):
     assert one.edited == "abcdab" and one.near_next == 1.0
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_next_document(spark, monkeypatch, kind):
+    """Blocks of a few rows; ids that many rows share, or that are null, are more than one block."""
+    monkeypatch.setattr(fp, "BLOCK_ROWS", 10)
+    draw = np.random.default_rng(5)
+    ids = [None] * 60 + [7] * 60 + [int(i) for i in draw.permutation(200) * 3]
+    rows = [(i if i is None or kind == "bigint" else f"é'{i:04}", f"text {k}") for k, i in enumerate(ids)]
+    frame = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    got = {r.text: r.next_text for r in fp.with_next(frame, "doc_id", "text", ["text"]).collect()}
+    at, order = "text 0", []
+    for _ in rows:
+        order.append(at)
+        at = got[at]
+    assert at == "text 0" and len(set(order)) == len(rows)  # one round through all
+    of = dict((t, i) for i, t in rows)
+    first = next(k for k, t in enumerate(order) if of[t] is not None and of[order[k - 1]] is None)
+    found = [of[t] for t in order[first:] + order[:first]]
+    assert found == sorted(found, key=lambda i: (i is not None, i or (0 if kind == "bigint" else "")), reverse=True)
+
+
 def test_resampling(spark, docs):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     good = labels.where("quality = 1").select("doc_id")
@@ -106,7 +129,10 @@ def test_gradient(monkeypatch):
     net = R.Network(R.Network().flat.astype(np.float64) * 5)
     draw = np.random.default_rng(0)
     x, reset, valid, h = draw.integers(0, 24, (6, 3)), draw.random((6, 3)) < 0.3, draw.random((6, 3)) < 0.9, np.zeros((3, 5))
-    g, _, _ = net.gradient(x, reset, valid, h)
+    g, _, touched = net.gradient(x, reset, valid, h)
+    assert not R.Network(g).E[np.setdiff1d(np.arange(24), touched)].any()
+    again, _, _ = net.gradient(x, reset, valid, h, into=R.Network(np.zeros_like(net.flat)))
+    assert np.allclose(g, again) and not np.allclose(g, net.gradient(x, reset, None, h)[0])
 
     def loss(flat):
         other = R.Network(flat)
@@ -191,6 +217,39 @@ def test_more_than_256_languages(spark):
     assert model.predict(f"{word(299)} " * 4)[0] == "l299"
 
 
+def test_tokens_of_slices():
+    """Arrow's slices hold offsets into what they were cut from."""
+    texts = ["Foo  BAR ÄÖ.", None, "", " \t", "x\x0by Z", "\x85 a\xa0b"] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    for part in [batch.column(0), batch.column(0).slice(7, 100), *[b.column(0) for b in slices(batch, 0, 64)]]:
+        code, edge, words = R.tokenised(part)
+        found = [[words[int(c)].as_py() for c in code[a:z]] for a, z in zip(edge, edge[1:], strict=False)]
+        assert found == [[*R.tokens(t), R.END] for t in part.to_pylist()]
+        named = [w for w in words.to_pylist() if w]
+        assert R.signs(pa.array(named, pa.large_binary())).tolist() == [R.sign(w) for w in named]
+
+
+def test_scores_equal_those_of_each_text_alone(spark):
+    """In streams beside a text of very many tokens, which is scored whole in memory that grows with its tokens alone."""
+    draw = np.random.default_rng(3)
+    texts = [draw.integers(0, R.HEAD + 16, n) for n in (1, 5, 300, 17, 2, 200_000)] + [draw.integers(0, R.HEAD, 9) for _ in range(600)]
+    net = R.Network()
+    tracemalloc.start()
+    together = R.log10_of(net, texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 60e6  # streams x longest stream would be 200,000 x 512
+    for k in (0, 1, 2, 3, 4, 5, 6, 605):
+        h, begins = np.zeros((1, R.HIDDEN), np.float32), np.zeros((len(texts[k]), 1), bool)
+        begins[0] = True
+        alone = 0.0
+        for at in range(0, len(texts[k]), 1000):
+            x = texts[k][at : at + 1000, None]
+            _, before, h = net.run(x, begins[at : at + 1000], h)
+            alone += net.output(before[:, 0], x[:, 0], False)[0].sum()
+        assert together[k] == pytest.approx(alone / np.log(10), rel=1e-4)
+
+
 def test_training_carries_the_state_through_segments(monkeypatch):
     for name, value in {"SEGMENT": 16, "RATE": 0.0}.items():
         monkeypatch.setattr(R, name, value)
@@ -198,9 +257,9 @@ def test_training_carries_the_state_through_segments(monkeypatch):
     _, whole, _ = net.run(text[:, None], (text == 0)[:, None], np.zeros((1, R.HIDDEN), np.float32))
     output = R.Network.output
 
-    def watched(self, before, row, learn):
+    def watched(self, before, row, learn, into=None):
         met.update(zip(row.tolist(), before, strict=True))
-        return output(self, before, row, learn)
+        return output(self, before, row, learn, into)
 
     monkeypatch.setattr(R.Network, "output", watched)
     assert R.train(net, iter([[text, np.array([50, 51])]])) == 42
@@ -210,7 +269,3 @@ def test_training_carries_the_state_through_segments(monkeypatch):
     cut[0] = True
     g, _, _ = net.gradient(text[:16, None], no, yes, np.zeros((1, R.HIDDEN), np.float32), cut, whole[:16])
     assert not R.Network(g).s.any()
-
-
-def test_digest_of_empty_text():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
