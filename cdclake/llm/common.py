@@ -14,7 +14,6 @@ from cdclake.sources.shared import new_path
 
 #: The white space of the text contracts: U+0020 and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
-SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts the lineage, and a lost executor costs no rerun."""

@@ -15,7 +15,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import SPACE_RUN, materialise
+from cdclake.llm.common import SPACES, materialise
 
 WORDS = 5
 BIN_BITS = 8
@@ -41,7 +41,7 @@ def shingle_hashes(text: Column) -> Column:
         own = F.transform(F.sequence(F.lit(0), F.size(hashes) - WORDS), lambda k: F.xxhash64(*[F.get(hashes, k + j) for j in range(WORDS)]))
         return F.when(F.size(hashes) >= WORDS, own).when(F.size(hashes) > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>"))
 
-    words = F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
+    words = F.filter(F.split(F.translate(text, SPACES, " " * len(SPACES)), " "), lambda w: w != "")  # no pattern to match
     return let(F.transform(words, lambda w: F.xxhash64(w)), runs)
 
 
@@ -50,7 +50,7 @@ def signature(text: Column) -> Column:
     none = F.array([F.lit(b << (HASH_BITS - BIN_BITS) | VALUE) for b in range(BINS)])  # sorts last in its bin
 
     def least(hashes: Column) -> Column:
-        ordered = F.array_sort(F.concat(F.transform(hashes, lambda h: h.bitwiseAND(F.lit((1 << HASH_BITS) - 1))), none))
+        ordered = F.sort_array(F.concat(F.transform(hashes, lambda h: h.bitwiseAND(F.lit((1 << HASH_BITS) - 1))), none))
         shift = HASH_BITS - BIN_BITS
         first = let(ordered, lambda s: F.filter(s, lambda h, k: (k == 0) | (F.shiftright(h, shift) != F.shiftright(F.get(s, k - 1), shift))))
         return F.transform(first, lambda h: F.when(h.bitwiseAND(F.lit(VALUE)) != VALUE, h.bitwiseAND(F.lit(VALUE))))
@@ -105,7 +105,8 @@ def with_next(rows: DataFrame, id_col: str, text_col: str, columns: list[str]) -
     keyed = rows.withColumn("_nx_key", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")))
     number = rows.count()
     blocks = min(-(-number // BLOCK_ROWS), MOST_BLOCKS)
-    sampled = keyed.select("_nx_key").sample(min(1.0, SAMPLE_EACH * blocks / number), 5).toArrow().column(0).to_pylist() if blocks > 1 else []  # about SAMPLE_EACH * MOST_BLOCKS at most
+    # about SAMPLE_EACH * MOST_BLOCKS keys at most
+    sampled = [r[0].asDict() for r in keyed.select("_nx_key").sample(min(1.0, SAMPLE_EACH * blocks / number), 5).collect()] if blocks > 1 else []
     sampled.sort(key=lambda k: (k["id"] is not None, k["id"] if k["id"] is not None else 0, k["h"]))
     cuts = sampled[SAMPLE_EACH // 2 :: SAMPLE_EACH]
     cuts = [c for k, c in enumerate(cuts) if not k or c != cuts[k - 1]]
