@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.test_exact_and_near import brute_exact, brute_near
@@ -36,10 +39,36 @@ def test_stages(spark):
     assert {r.doc_id for r in packed} == ids(before)
 
 
-def test_empty_and_repeated_rows(spark):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_empty_and_repeated_rows(spark, monkeypatch, few):
+    monkeypatch.setattr(corpus_pipeline, "FEW_DROPPED", few)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
     twice = docs.limit(3).unionByName(docs.limit(3))
     assert corpus_pipeline.drop_copies(spark, twice, SMALL).count() == 3
     assert corpus_pipeline.drop_near_copies(spark, twice, SMALL).count() == 3
+    spaced = spark.createDataFrame([(1, "a b", "en", "s", 3), (1, "a  b", "en", "s", 4), (2, "a b", "en", "s", 3), (None, None, None, None, None), (None, None, None, None, None)], docs.schema)
+    assert sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_copies(spark, spaced, SMALL).collect()), key=str) == [(1, "a  b"), (None, None)]
+
+
+def test_odd_rows_in_every_stage(spark):
+    """Null ids and texts, a text of very many words, ties, and columns that clash with the stages' own."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    long = "the quick brown fox jumps over the lazy dog and then some more " * 8000
+    rows = [(None, "the cat sat on the mat and looked at the dog"), (None, "the cat sat on the mat and looked at the dog"), (None, None), (7001, long), (7002, long + "!"), (7003, ""), (7003, "")]
+    odd = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], docs.schema)
+    before = docs.unionByName(odd)
+    for name in ("score", "lang_pred", "kept", "KEY", "h", "n", "key.dotted", "sequence_id", "label"):
+        before = before.withColumn(name, F.lit(name))
+    columns = before.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, SMALL).cache()
+        assert after.columns == columns and {r.label for r in after.select("label").collect()} == {"label"}
+        texts = [(r.doc_id, r.text) for r in after.select("doc_id", "text").collect()]
+        nulls = sum(1 for i, t in texts if i is None)
+        assert nulls == {"language_id": 2, "toxicity": 2, "exact_dedup": 1, "near_duplicates": 1}[name]
+        assert {i for i, _ in texts} & {7001, 7002} == ({7001} if name == "near_duplicates" else {7001, 7002})
+        before = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, before, SMALL).collect()
+    assert sum(r.length for r in packed if r.doc_id == 7001) > 90_000
