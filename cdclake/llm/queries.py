@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cdclake.llm import language_id, toxicity
 from cdclake.llm.bpe import encode_decode
 from cdclake.llm.common import documents, id_crc
+from cdclake.llm.decontaminate import contaminated_words
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
 from cdclake.llm.importance import resample
@@ -83,6 +84,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("n_chars")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated_words(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    ids = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids, (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can say of op5_one_permutation: the edited texts."""
     return op5_one_permutation(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
@@ -105,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_recurrent_lm": op8_recurrent_lm,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_decontamination": op11_decontamination,
         "edited_texts": edited_texts,
         "token_counts": token_counts,
     }
@@ -169,5 +177,21 @@ FROM t LEFT JOIN c USING (w) CROSS JOIN s GROUP BY doc_id
 """
 
 
+OP11_SQL = r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id::VARCHAR AS id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, doc_id FROM documents
+  UNION ALL
+  SELECT 'b', item_id::VARCHAR, row_number() OVER (), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), NULL FROM benchmark
+), k AS (SELECT *, least(len(w), 10) AS k FROM w WHERE kind = 'b' AND len(w) > 0),
+b AS (SELECT DISTINCT id AS item, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM k)),
+p AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM w, (SELECT DISTINCT k AS n FROM k) WHERE kind = 'd' AND len(w) >= n)),
+h AS (SELECT row, item, n, i FROM p JOIN b ON p.g = b.g AND p.n = b.k),
+c AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT row, n, i FROM h)) GROUP BY row),
+t AS (SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM w LEFT JOIN c USING (row) LEFT JOIN t USING (row) WHERE kind = 'd'
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}
+    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_decontamination": OP11_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}
