@@ -87,6 +87,21 @@ def own_texts(texts: pa.Array, small: bool = False) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(edges - edges[0]), pa.py_buffer(own.translate(SMALL) if small else own))
 
 
+#: Bytes of a text that are split at once.
+PIECE = 1 << 20
+
+
+def term_pieces(text: str, table: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in order, some at a time; table: what bytes.translate() makes of it, spaces between terms."""
+    data = text.encode().translate(table)
+    at = 0
+    while at < len(data):
+        stop = data.find(b" ", at + PIECE)
+        stop = len(data) if stop < 0 else stop
+        yield data[at:stop].split()
+        at = stop
+
+
 def slices(b: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with at most so many bytes of text, or of one row."""
     size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

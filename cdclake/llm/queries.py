@@ -12,6 +12,7 @@ from cdclake.llm import language_id, toxicity
 from cdclake.llm.bpe import encode_decode
 from cdclake.llm.common import documents, id_crc
 from cdclake.llm.decontaminate import contaminated_words
+from cdclake.llm.divergence import divergence
 from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
 from cdclake.llm.importance import resample
@@ -90,6 +91,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids, (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(documents(spark, sf_dir))
+
+
 def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can say of op5_one_permutation: the edited texts."""
     return op5_one_permutation(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
@@ -113,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_toxicity": op10_toxicity,
         "op11_decontamination": op11_decontamination,
+        "op12_source_divergence": op12_source_divergence,
         "edited_texts": edited_texts,
         "token_counts": token_counts,
     }
@@ -193,5 +199,28 @@ FROM w LEFT JOIN c USING (row) LEFT JOIN t USING (row) WHERE kind = 'd'
 """
 
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS nl FROM k GROUP BY lang),
+s AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS ng FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (s.ng + v.v) AS p, 1 + 1000000000 * (k.n + 1) // (v.nl + v.v) AS q
+      FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_decontamination": OP11_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}
+    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_decontamination": OP11_SQL, "op12_source_divergence": OP12_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}

@@ -26,7 +26,8 @@ class ByteBPE:
     """encode() gives ids as little-endian unsigned 32-bit bytes, those of the tokenizers library with the same file.
 
     Where the file's merges are in the order of their ids, its vocabulary is a table of ranks, which a faster encoder
-    takes; else, and for texts with unsettled characters, the library itself encodes.
+    takes; else, and for texts with unsettled characters or with runs of white space that are too long for that
+    encoder's pattern, the library itself encodes.
     """
 
     def __init__(self, path: str):
@@ -52,7 +53,10 @@ class ByteBPE:
         if not text:
             return b""
         if self.fast is not None and SETTLED.fullmatch(text):
-            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+            except ValueError:  # its pattern gives up on runs of some million spaces, which the library takes
+                pass
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 

@@ -22,6 +22,7 @@ from cdclake.llm.common import slices
 from cdclake.llm.packing import pack_best_fit, plan
 from cdclake.llm.tokens import ByteBPE, token_pieces
 from cdclake.llm.training_order import permute, read_slots, write_shards
+from cdclake.sources.shared import new_path
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 word_whole, byte_whole = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
@@ -174,3 +175,19 @@ def test_shards_can_be_written_again(spark, tmp_path):
     assert len(list(read_slots(spark, out, 0, 10**6, sequence_ids=64, shard_rows=10))) == fewer == 3
     with pytest.raises(ValueError):
         write_shards(docs_of(spark), BYTE, out, sequence_ids=1 << 16)
+
+
+@pytest.mark.parametrize("char, number", [(" ", 1_000_000), ("\n", 1_000_000), ("\t", 1_000_000), (" ", 5_000_000)])
+def test_long_runs_of_white_space(char, number):
+    text = "a" + char * number + "b"
+    assert byte.encode(text) == np.array(byte_whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_white_space_through_packing_and_order(spark):
+    docs = spark.createDataFrame([(1, " " * 1_500_000), (2, "\n" * 2_500_000 + "x"), (3, "plain text")], "doc_id bigint, text string")
+    pieces = token_pieces(docs, BYTE, 1024, 2)
+    expected = {i: len(byte_whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in docs.collect()}
+    assert {r.doc_id: r.n for r in pieces.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == expected
+    assert pack_best_fit(pieces.select("doc_id", "piece", "start", "length"), 1024).agg(F.sum("length")).first()[0] == sum(expected.values())
+    out = write_shards(docs, BYTE, new_path(spark, "white"))
+    assert out.count() > 0
