@@ -17,6 +17,7 @@ from cdclake.llm.exact_dedup import exact_dedup
 from cdclake.llm.fingerprint import edited_comparison
 from cdclake.llm.importance import resample
 from cdclake.llm.jaccard_join import near_duplicates
+from cdclake.llm.lexical import build, search
 from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.recurrent_lm import score_texts
 from cdclake.llm.tokens import token_pieces
@@ -95,6 +96,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(documents(spark, sf_dir))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build(documents(spark, sf_dir)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can say of op5_one_permutation: the edited texts."""
     return op5_one_permutation(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
@@ -119,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": op10_toxicity,
         "op11_decontamination": op11_decontamination,
         "op12_source_divergence": op12_source_divergence,
+        "op13_lexical_search": op13_lexical_search,
         "edited_texts": edited_texts,
         "token_counts": token_counts,
     }
@@ -222,5 +228,18 @@ FROM r QUALIFY part = 'pair' OR rank <= 200
 """
 
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT count(*)::BIGINT AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+t AS (SELECT id, unnest(w) AS term FROM d), c AS (SELECT id, term, count(*) AS tf FROM t GROUP BY ALL),
+b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+x AS (SELECT q, item_id, unnest(w) AS term FROM b), y AS (SELECT q, item_id, term, count(*) AS often FROM x GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM c, g GROUP BY term),
+s AS (SELECT q, item_id, id, sum(often * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(w) * n) // l))))::BIGINT AS score
+      FROM y JOIN c USING (term) JOIN f USING (term) JOIN d USING (id), g GROUP BY ALL HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s JOIN d USING (id) QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_decontamination": OP11_SQL, "op12_source_divergence": OP12_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}
+    return {"op4_chosen_path": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_decontamination": OP11_SQL, "op12_source_divergence": OP12_SQL, "op13_lexical_search": OP13_SQL, "edited_texts": EDITED_SQL, "token_counts": TOKENS_SQL}
