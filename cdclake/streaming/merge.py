@@ -6,19 +6,22 @@ its keys fall into, then the partitions of rows that the index and the batch nam
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cdclake.functions import partition_predicate
 from cdclake.operators.merge import APPLIED, COMBINED, DataDelayed, Policy, actions, apply, high_water_marks, index_of, missing_keys
 from cdclake.operators.tasks import DELAY_HOURS, MOST_ATTEMPTS
-from cdclake.sources.store import BUCKET, Conflict, Store
+from cdclake.sources.store import BUCKET, Conflict, Store, part_keys
 
 ATTEMPTS = 3
+#: Number types, each of which takes in those before it (and whose files Spark reads as a later one).
+NUMBERS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
@@ -31,7 +34,11 @@ def index_table(store: Store, base: dict, empty: DataFrame, keys: list[str], buc
         return empty.limit(0).select(*keys, "ut", F.lit(True).alias("live"), *store.by)
     if not base["by"].get("index") or buckets is None:
         return store.read("index", base=base).drop(BUCKET)
-    return store.read("index", base=base, predicate=partition_predicate([{BUCKET: b} for b in buckets])).drop(BUCKET)
+    return store.read("index", base=base, only=bucket_keys(buckets)).drop(BUCKET)
+
+
+def bucket_keys(buckets: list[int]) -> list[str]:
+    return [json.dumps([str(b)]) for b in buckets]
 
 
 def with_bucket(index: DataFrame, store: Store, keys: list[str]) -> DataFrame:
@@ -40,7 +47,7 @@ def with_bucket(index: DataFrame, store: Store, keys: list[str]) -> DataFrame:
 
 def commit_index(store: Store, fresh: DataFrame, keys: list[str], base: dict, tables: dict[str, DataFrame] | None = None, touched: dict | None = None) -> int:
     """Publish a whole index, each part sorted by key, with other tables."""
-    every = [(b,) for b in range(store.index_buckets)]
+    every = bucket_keys(list(range(store.index_buckets)))
     return store.commit({"index": with_bucket(fresh, store, keys)} | (tables or {}), {"index": every} | (touched or {}), base=base, by={"index": [BUCKET]}, sort={"index": keys})
 
 
@@ -61,13 +68,44 @@ def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
     index that no key of the batch falls into; a store without partition columns has its rows rewritten whole. Marks
     are kept for the table and for each partition. A batch that is in the store already changes nothing. If another
     writer commits first, the merge is worked out again on its snapshot.
+
+    The table's columns are those of all its batches: a new one is null in older rows, one that a batch lacks is null
+    in the rows that it brings, and numbers get the wider type. Types that don't go together fail the merge.
     """
-    values = [c for c in batch.columns if c not in ("op", "seq")]
     by = store.by
+    batch = batch.persist()  # read for its parts of the index and for its actions, in each attempt
+    try:
+        return _merge_batch(store, batch, keys, policy, batch_id, table, by)
+    finally:
+        batch.unpersist()
+
+
+def merged_types(store: Store, base: dict, table: str, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch with its columns in the types that the table and it share; fails where there is none. Keys can't widen: their hash says where they are."""
+    if table not in base["tables"]:
+        return batch
+    known = {f.name: f.dataType for f in store.schema(table, base)}
+    casts = {}
+    for c in batch.columns:
+        own, old = batch.schema[c].dataType, known.get(c, batch.schema[c].dataType)
+        if own == old:
+            continue
+        wider = [NUMBERS.index(type(t)) for t in (own, old) if type(t) in NUMBERS]
+        if isinstance(own, T.NullType) or (len(wider) == 2 and wider[0] < wider[1]):
+            casts[c] = F.col(c).cast(old)
+        elif len(wider) < 2 or c in keys:
+            raise ValueError(f"{c} is {own.simpleString()} in the batch and {old.simpleString()} in the table")
+    return batch.withColumns(casts) if casts else batch
+
+
+def _merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy, batch_id: str | None, table: str, by: list[str]) -> int:
+    values = [c for c in batch.columns if c not in ("op", "seq")]
+    given = batch
     for attempt in range(ATTEMPTS):
         base = store.manifest()
         if store.has_batch(base, batch_id):
             return base["version"]
+        batch = merged_types(store, base, table, given, keys)
         empty = batch.limit(0)
         hit = [r[0] for r in batch.select(bucket_of(keys, store.index_buckets)).distinct().collect()]  # index_buckets numbers at most
         index = index_table(store, base, empty, keys, hit)
@@ -80,18 +118,14 @@ def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
             if by:
                 fresh = applied.where(F.col("action").isin("insert", "update")).select(*by)
                 old = applied.where(F.col("action").isin("update", "delete") & F.col("x_live")).select(*[F.col(f"x_{c}").alias(c) for c in by])
-                touched = [tuple(r) for r in fresh.unionByName(old).distinct().collect()]  # partition tuples only
-            if table not in base["tables"]:
-                target = empty.select(*values)
-            else:
-                wanted = partition_predicate([dict(zip(by, t, strict=True)) for t in touched]) if by else None
-                target = store.read(table, base=base, predicate=wanted)
-            after, new_index = apply(target, index, acted, keys, by)
+                touched = part_keys(fresh.unionByName(old), by)
+            target = empty.select(*values) if table not in base["tables"] else store.read(table, base=base, only=touched)
+            after, new_index = apply(target, index, acted, keys, by, values)
             tables = {table: after, "index": with_bucket(new_index, store, keys)}
             tables["marks"] = high_water_marks(acted, [], store.read("marks", base=base), policy)
             if by:
                 tables["partition_marks"] = high_water_marks(acted, by, store.read("partition_marks", base=base), policy)
-            parts = {"index": [(b,) for b in hit]} | ({table: touched} if by else {})
+            parts = {"index": bucket_keys(hit)} | ({table: touched} if by else {})
             return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys} | ({table: keys} if by else {}))
         except Conflict:
             if attempt == ATTEMPTS - 1:
