@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.operators.envelope import CREATE, DELETE, UPDATE
+from cdclake.operators.keyfilter import sifted
 
 
 class DataDelayed(RuntimeError):
@@ -65,8 +66,12 @@ def actions(batch: DataFrame, index: DataFrame, keys: list[str], policy: Policy
 
     Actions: insert, update, delete, tombstone (delete of an unknown key), skip_create, skip_late, skip_missing.
     INSERT_ONLY keeps all rows of a key, as it does no folding. Further columns of the index come as x_<name>. An
-    entry that doesn't say whether its row lives is corrupt and fails the job.
+    entry that doesn't say whether its row lives is corrupt and fails the job. Where INSERT_ONLY appends without asking
+    (check_exists=False), the index isn't read.
     """
+    if policy.name == "insert_only" and not policy.check_exists:
+        unknown = [F.lit(None).cast(index.schema[c].dataType).alias(f"x_{c}") for c in index.columns if c not in keys]
+        return batch.select("*", *unknown, F.lit("insert").alias("action"))
     if policy.name == "insert_only":
         rows = batch
     else:
@@ -76,7 +81,7 @@ def actions(batch: DataFrame, index: DataFrame, keys: list[str], policy: Policy
     there, op = F.col("_there").isNotNull(), F.col("op")
     joined = joined.withColumn("x_live", F.when(there & F.col("x_live").isNull(), F.raise_error(F.lit("corrupt index entry")).cast("boolean")).otherwise(F.col("x_live")))
     if policy.name == "insert_only":
-        action = F.when(there & F.lit(policy.check_exists), "skip_create").otherwise("insert")
+        action = F.when(there, "skip_create").otherwise("insert")
     elif policy.name == "combined":
         dead = there & ~F.col("x_live") & F.lit(not policy.resurrect) & (op == UPDATE)
         action = (
@@ -95,11 +100,15 @@ def actions(batch: DataFrame, index: DataFrame, keys: list[str], policy: Policy
 
 def missing_keys(batch: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
     """Winners of a strict batch whose key has no index entry."""
-    return winners(batch, keys, last_wins=False).join(index.select(*keys), keys, "left_anti")
+    return insert_if_absent(winners(batch, keys, last_wins=False), index, keys)
 
 
 def insert_if_absent(rows: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.join(index.select(*keys), keys, "left_anti")
+    """The rows whose key the index doesn't have.
+
+    Of the index, only entries that pass a filter of the rows' keys are shuffled: a batch's keys are few of them.
+    """
+    return rows.join(sifted(index.select(*keys), rows, keys), keys, "left_anti")
 
 
 def counters(acted: DataFrame) -> DataFrame:
@@ -111,16 +120,18 @@ def counters(acted: DataFrame) -> DataFrame:
 APPLIED = ("insert", "update", "delete", "tombstone")
 
 
-def apply(target: DataFrame, index: DataFrame, acted: DataFrame, keys: list[str], by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def apply(target: DataFrame, index: DataFrame, acted: DataFrame, keys: list[str], by: list[str] | None = None, values: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The target and the index after the actions. A row that changes its partition is rewritten there and leaves the old one.
 
-    by: partition columns that the index keeps for each key, besides ut and live.
+    by: partition columns that the index keeps for each key, besides ut and live. values: columns of acted that the
+    target shall have (its own, where not given). Those that the target lacks are null in its rows, those that acted
+    lacks in the rows that it brings.
     """
     by = by or []
     touched = acted.where(F.col("action").isin(*APPLIED))
     gone = touched.where(F.col("action").isin("update", "delete")).select(*keys)
-    fresh = touched.where(F.col("action").isin("insert", "update")).select(*target.columns)
-    after = target.join(gone, keys, "left_anti").unionByName(fresh)
+    fresh = touched.where(F.col("action").isin("insert", "update")).select(*(values or target.columns))
+    after = target.join(gone, keys, "left_anti").unionByName(fresh, allowMissingColumns=True)
     last = F.max(F.struct("ut", *by))
     entries = touched.groupBy(*keys).agg(last.alias("_last"), F.max(F.col("action").isin("insert", "update")).alias("live"))
     entries = entries.select(*keys, "_last.ut", "live", *[f"_last.{c}" for c in by])
