@@ -19,6 +19,7 @@ from cdclake.sources import files
 from cdclake.sources.shared import new_path
 from cdclake.sources.store import Store
 from cdclake.streaming.merge import merge_batch, merge_stream
+from cdclake.streaming.state import flushed, live_rows, run_available, versioned
 from cdclake.streaming.tasks import consume, publish
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,6 +403,74 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("rows").select("user_id", "ut", "value")
 
 
+@query(VIEW + """
+SELECT user_id, ut, value, NULL::DOUBLE AS twice FROM w1 WHERE op <> 'd' AND user_id NOT IN (SELECT user_id FROM a WHERE action IN ('update', 'delete'))
+UNION ALL SELECT user_id, ut, value, value * 2 FROM a WHERE action IN ('insert', 'update')""")
+def merged_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch brings a column that the table lacks, and ids of a narrower type than the table's."""
+    store = Store(spark, new_path(spark, "columns"), ["p_m"], index_buckets=4)
+    one, two = batches(spark, sf_dir)
+    merge_batch(store, _partitioned(one.withColumn("seq", F.col("seq").cast("long"))), KEYS)
+    merge_batch(store, _partitioned(two.withColumn("twice", F.col("value") * 2)), KEYS)
+    return store.read("rows").select("user_id", "ut", "value", "twice")
+
+
+@query(
+    "SELECT coalesce(text, 'none') AS text, half, moment::VARCHAR AS moment, count(*) AS n, sum(event_id)::BIGINT AS ids FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE event_type || '/=%' END AS text, (event_id % 3) / 2 AS half, TIMESTAMP '2024-01-01 00:00:00.25' + INTERVAL 1 DAY * (event_id % 2) AS moment FROM events) GROUP BY ALL"
+)
+def partitions_of_any_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions by a text (empty, null and with odd characters), a fraction and an instant; one of them written again."""
+    text = F.when(F.col("event_id") % 4 == 0, "").when(F.col("event_id") % 4 == 1, F.lit(None)).otherwise(F.concat("event_type", F.lit("/=%")))
+    at = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00.25")) + F.make_dt_interval(days=(F.col("event_id") % 2).cast("int"))
+    rows = table(spark, sf_dir, "events").select("event_id", text.alias("text"), ((F.col("event_id") % 3) / 2).alias("half"), at.alias("moment"))
+    store, by = Store(spark, new_path(spark, "parts"), ["text", "half", "moment"]), ["text", "half", "moment"]
+    store.commit({"rows": rows}, {"rows": rows})
+    empty = store.read("rows", predicate="text = ''")
+    store.commit({"rows": empty}, {"rows": empty.select(*by)})
+    return store.read("rows").groupBy(F.coalesce("text", F.lit("none")).alias("text"), "half", F.col("moment").cast("string").alias("moment")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both batches change, each in two micro-batches (users of even and odd id), every one after a restart."""
+    folder = new_path(spark, "versions")
+    for batch in batches(spark, sf_dir):
+        for odd in (0, 1):
+            batch.where(F.col("user_id") % 2 == odd).write.mode("append").parquet(f"{folder}/staged")
+            stream = files.staged_stream(spark, f"{folder}/staged", batch.schema)
+            run_available(versioned(stream, KEYS), f"{folder}/changes", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/changes")
+
+
+@query(STATE_SQL)
+def streaming_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that a stream keeps for each key, through restarts."""
+    return live_rows(_changes(spark, sf_dir), KEYS).select("user_id", "ut", "value")
+
+
+@query(VIEW + "SELECT user_id, 1 AS batch, CASE op WHEN 'd' THEN 'tombstone' ELSE 'insert' END AS action, ut FROM w1 UNION ALL SELECT user_id, 2, action, ut FROM a")
+def streaming_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each key's winners did, late ones and deletes of unknown keys too."""
+    in_first = (F.col("seq") % 2 == 0) & (F.col("user_id") % 3 != 0)
+    return _changes(spark, sf_dir).select("user_id", F.when(in_first, 1).otherwise(2).alias("batch"), "action", "ut")
+
+
+@query(
+    """WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY event_type ORDER BY epoch_ms(ts), event_id) AS i FROM events),
+n AS (SELECT a.event_type, a.i, least(a.i + 50, (SELECT count(*) + 1 FROM e b WHERE b.event_type = a.event_type AND b.at < a.at + 86400000)) AS next FROM e a),
+f AS (SELECT event_type, 1::BIGINT AS i, 0::BIGINT AS file FROM e GROUP BY 1 UNION ALL SELECT event_type, n.next, file + 1 FROM f JOIN n USING (event_type, i) WHERE n.next <= (SELECT count(*) FROM e x WHERE x.event_type = f.event_type))
+SELECT e.event_id, e.event_type, f.file FROM e ASOF JOIN f ON e.event_type = f.event_type AND e.i >= f.i"""
+)
+def flushed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's file, of one writer for each type: 50 rows or a day at most. Days come in three starts of the stream."""
+    folder, e = new_path(spark, "flushes"), table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    third = F.least(F.floor(F.dayofyear("ts") / 11), F.lit(2))
+    for part in range(3):
+        e.where(third == part).write.mode("append").parquet(f"{folder}/staged")
+        stream = files.staged_stream(spark, f"{folder}/staged", e.schema)
+        run_available(flushed(stream, ["event_type"], "ts", "event_id", most_rows=50, minutes=24 * 60), f"{folder}/files", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/files").select("event_id", "event_type", "file")
+
+
 @query(STATE_SQL)
 def tasks_equal_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each batch published as staged files with tasks, which are then worked through; users are partitions of their own."""
