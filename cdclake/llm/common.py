@@ -62,25 +62,6 @@ def join_counted(rows: DataFrame, few: DataFrame, on: str, number: str, total: i
     return dealt.join(few.withColumn("_hot_salt", copies), [on, "_hot_salt"], how).drop("_hot_salt")
 
 
-#: Bits of a filter: at most as many words of 64 as are broadcast, some 50 MB.
-FILTER_BITS = 1 << 26
-
-
-def filter_of(keys: DataFrame, *on: str) -> DataFrame:
-    """(_word, _bits): a filter of one hash over the keys (columns on), the same size for any number of them."""
-    at = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
-    marked = keys.select((at / 64).cast("int").alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int")).alias("_bit"))
-    return marked.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-
-
-def with_maybe(rows: DataFrame, found: DataFrame, *on: str) -> DataFrame:
-    """rows with _maybe: false where the key (columns on) isn't among those of the filter, true where it is or another key shares its bit."""
-    at = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
-    joined = rows.join(F.broadcast(found), (at / 64).cast("int") == F.col("_word"), "left")
-    return joined.withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_word", "_bits")
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

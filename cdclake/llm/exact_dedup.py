@@ -4,8 +4,9 @@ Only DataFrame functions run here. Three passes:
 
 1. a narrow table (id, code points, hash, sha-256) is written once, then its groups of two rows or more;
 2. texts of these groups are verified: the least and the greatest text of a group are the same bytes, or the hash
-   collided. Where few groups there are, texts of other rows don't leave their task; texts of hot groups are salted,
-   so one group never meets in one task;
+   collided. A filter of bounded size over the groups' hashes is sent to all tasks, so that texts of other rows don't
+   leave theirs, but for those that share a bit with a group (they verify alone, which does no harm). Texts of hot
+   groups are salted, so one group never meets in one task;
 3. rows get their group's keeper by an equi-join on narrow rows, hot groups salted again. Rows of no group are their own.
 
 Where a hash did collide, the group's rows part by their sha-256.
@@ -19,9 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.llm.common import HOT_ROWS, HOT_SHARE, SALTS, SPACES, forget, join_counted, materialise
-
-#: Up to so many groups (of 16 bytes and a few numbers each) are sent to all executors.
-FEW_GROUPS = 200_000
+from cdclake.operators.keyfilter import key_filter, with_maybe
 
 
 def normalised(text: Column) -> Column:
@@ -45,11 +44,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = materialise(norm.select("doc_id", "n", content_hash(F.col("norm")).alias("h"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")), "dedup-keys")
     total = narrow.count()
     several = groups(narrow)
-    number = several.count()
 
     texts = norm.select(F.monotonically_increasing_id().alias("row"), "norm", content_hash(F.col("norm")).alias("h"))
-    if number <= FEW_GROUPS:
-        texts = texts.join(F.broadcast(several.select("h")), "h", "left_semi")
+    texts = with_maybe(texts, key_filter(several, "h"), "h").where("_maybe")
     # the bytes of a hot group meet in as many parts as its rows are salted by
     hot = several.where(F.col("group_size") > max(HOT_ROWS, int(total * HOT_SHARE))).select(F.col("h").alias("hot_h"))  # 1 / HOT_SHARE rows at most
     salt = F.when(F.col("hot_h").isNotNull(), F.pmod("row", F.lit(SALTS))).otherwise(F.lit(0)).alias("salt")
@@ -63,8 +60,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         narrow = narrow.join(collided, "h", "left").select("doc_id", "n", "text_sha256", F.when(F.col("collided"), F.unhex("text_sha256")).otherwise(F.col("h")).alias("h"))
         several = groups(narrow)
-        number = several.count()
-    found = narrow.join(F.broadcast(several), "h", "left") if number <= FEW_GROUPS else join_counted(narrow, several, "h", "group_size", total, "left")
+    found = join_counted(narrow, several, "h", "group_size", total, "left")
     grouped = F.col("group_size").isNotNull()
     keep_id = F.when(grouped, F.col("best.id")).otherwise(F.col("doc_id"))
     leads = F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("n") == -F.col("best.less"))

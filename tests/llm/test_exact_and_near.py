@@ -11,7 +11,6 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import cdclake.llm.exact_dedup as E
 import cdclake.llm.jaccard_join as J
 from cdclake.llm.common import join_counted
 from cdclake.llm.exact_dedup import exact_dedup
@@ -140,11 +139,14 @@ def test_texts_of_any_length_and_ids_of_any_kind(spark):
     assert near == {"b": "a", "a": "a", "c": "a", None: "a", "d": "", "": ""}
 
 
-def test_exact_dedup_of_many_groups(spark, monkeypatch):
-    """More groups than are sent to all executors, with a hot one among them."""
-    monkeypatch.setattr(E, "FEW_GROUPS", 3)
+def test_exact_dedup_of_many_groups(spark):
+    """Many groups, with a hot one among them, by the same plan as none."""
     rows = [(i, "hot text" if i % 3 == 0 else f"text {i % 700}") for i in range(6000)]
-    assert sorted(map(tuple, exact_dedup(with_extras(spark, rows)).drop("n_chars").collect()), key=str) == brute_exact(rows)
+    many = exact_dedup(with_extras(spark, rows)).drop("n_chars")
+    assert sorted(map(tuple, many.collect()), key=str) == brute_exact(rows)
+    none = exact_dedup(with_extras(spark, [(i, f"text {i}") for i in range(6000)])).drop("n_chars")
+    shapes = [re.sub(r"#\d+L?|\d+", "", f._jdf.queryExecution().optimizedPlan().toString()) for f in (many, none)]
+    assert shapes[0] == shapes[1]
 
 
 def test_join_of_hot_keys(spark):
