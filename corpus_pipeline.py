@@ -15,12 +15,11 @@ from cdclake.llm.exact_dedup import exact_dedup, normalised
 from cdclake.llm.jaccard_join import near_duplicates
 from cdclake.llm.packing import pack_best_fit
 from cdclake.llm.tokens import token_pieces
+from cdclake.operators.keyfilter import key_filter, with_maybe
 
 #: Below this a language is a guess among a few; documents without a letter have none at all.
 LEAST_LANGUAGE_SCORE = 0.3
 SEQUENCE, END_ID = 1024, 2
-#: Up to so many dropped rows (an id and a digest each) are sent to all executors.
-FEW_DROPPED = 200_000
 
 #: Packing and the fitted stages go beyond SQL; they are tested against brute-force versions.
 ORACLE_SQL = None
@@ -44,24 +43,24 @@ def together(found: DataFrame, docs: DataFrame) -> DataFrame:
 def keep_rows(docs: DataFrame, found: DataFrame, same: dict) -> DataFrame:
     """The rows of docs that found marks as kept: same maps columns of found to what they equal in docs. One of several equal rows stays.
 
-    Rows with equal values there have the same mark. Few dropped ones are sent to the documents, so that these don't
-    move; else both sides are shuffled. Columns of docs may not begin with _keep_.
+    Rows with equal values there have the same mark. A filter of bounded size over the ids of dropped rows is sent to
+    the documents: those that pass it stay where they are, only the others are worked out and meet the dropped rows.
+    Columns of docs may not begin with _keep_, nor be named _maybe, _word or _bits.
     """
     names, keys = docs.columns, [f"_keep_{name}" for name in same]
-    keyed = docs.select("*", *[value.alias(key) for key, value in zip(keys, same.values(), strict=True)])
     marked = found.select("kept", *[F.col(name).alias(f"{key}_") for key, name in zip(keys, same, strict=True)])
     of_mark = [f"{key}_" for key in keys]
     dropped = marked.where("not kept").select(*of_mark)
-    several = not marked.where("kept").groupBy(*of_mark).count().where("count > 1").isEmpty()
+    several = marked.where("kept").groupBy(*of_mark).count().where("count > 1").select(*of_mark)
+    apart_ = dropped.unionByName(several)  # rows that may go: dropped ones, and kept ones that are there more than once
+    sifted = with_maybe(docs, key_filter(apart_, of_mark[0]), "doc_id")
+    asked = sifted.where("_maybe").select(*named(names), *[value.alias(key) for key, value in zip(keys, same.values(), strict=True)])
     condition = None
     for key in keys:
         one = F.col(key).eqNullSafe(F.col(f"{key}_"))
         condition = one if condition is None else condition & one
-    if dropped.count() <= FEW_DROPPED:
-        out = keyed.join(F.broadcast(dropped.distinct()), condition, "left_anti")
-    else:
-        out = keyed.join(marked.where("kept").select(*of_mark).distinct(), condition, "left_semi")
-    return (out.dropDuplicates(keys) if several else out).select(*named(names))
+    out = asked.join(dropped.distinct(), condition, "left_anti").dropDuplicates(keys)
+    return sifted.where("not _maybe").select(*named(names)).unionByName(out.select(*named(names)))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
