@@ -354,7 +354,8 @@ def search_block(index: Index, block: list[tuple], terms: list[bytes], best: int
         rows = lists.select("shard", "t", "at", "tf", empty.cast(f"array<{doc_kind}>").alias("ids"), empty.cast("binary").alias("n"))
         rows = rows.unionByName(places.select("shard", empty.cast("int").alias("t"), empty.cast("binary").alias("at"), empty.cast("binary").alias("tf"), "ids", "n"))
         own = rows.join(visits, "shard").select("shard", "t", "at", "tf", "ids", "n", F.when(F.col("t").isNull(), F.col("qs")).alias("qs"))
-        fresh = own.repartition("shard").sortWithinPartitions("shard").mapInArrow(score, shape)
+        # by another expression than the join's: an equal partitioning would be left out, and lost where the join is broadcast
+        fresh = own.repartition(F.xxhash64("shard")).sortWithinPartitions("shard").mapInArrow(score, shape)
         place = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last(), "shard", "at")
         found = materialise(found.unionByName(fresh).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= best).drop("rank"), "search-found")
         forget(before)
