@@ -12,6 +12,26 @@ def operation_metrics(rows: DataFrame, by: list[str], latency: str | None = None
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *extra)
 
 
+#: Size of a latency sketch: a quantile's rank is off by at most RANK_ERROR of all rows, with 99 % probability.
+SKETCH, RANK_ERROR = 200, 0.0165
+
+
+def latency_sketches(rows: DataFrame, by: list[str], latency: str) -> DataFrame:
+    """Rows and a sketch of the latencies (KLL) for each label combination; sketches of many batches add up."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(latency).cast("double"), SKETCH).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """Sketches of several batches (or labels) as one for each combination of by."""
+    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH).alias("sketch"))
+
+
+def latency_quantiles(sketches: DataFrame, at: list[float]) -> DataFrame:
+    """The latencies at these ranks as an array, in place of the sketch; no row's rank is exact, see RANK_ERROR."""
+    found = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(float(q)) for q in at]))
+    return sketches.select(*[c for c in sketches.columns if c != "sketch"], found.alias("latency"))
+
+
 def file_stats(table: DataFrame, by: list[str], least: int = 0) -> DataFrame:
     """Files and rows of each partition that has more than least files."""
     return table.groupBy(*by).agg(F.countDistinct("_metadata.file_path").alias("files"), F.count(F.lit(1)).alias("rows")).where(F.col("files") > least)

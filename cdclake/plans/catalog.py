@@ -16,6 +16,7 @@ from cdclake.operators import merge as m
 from cdclake.operators import ddl, marks, metrics, repair, tasks
 from cdclake.operators.envelope import flatten, operation, partitioned, source_database
 from cdclake.sources import files
+from cdclake.sources.bucketed import BucketedIndex
 from cdclake.sources.shared import new_path
 from cdclake.sources.store import Store
 from cdclake.streaming.merge import merge_batch, merge_stream
@@ -737,6 +738,39 @@ def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_type", "n", F.get("latency", F.lit(0)).alias("half"), F.get("latency", F.lit(2)).alias("most"))
 
 
+@query("SELECT event_type, count(*) AS n, q, true AS within FROM events, (VALUES (0.5::DOUBLE), (0.9), (0.99)) v(q) GROUP BY event_type, q")
+def latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of each type and day, stored batch by batch, merged on read: quantiles whose rank is as near as promised."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("date").alias("day"), "value")
+    folder, ranks = new_path(spark, "sketches"), [0.5, 0.9, 0.99]
+    for part in range(4):
+        metrics.latency_sketches(e.where(F.pmod("event_id", F.lit(4)) == part), ["event_type", "day"], "value").write.mode("append").parquet(folder)
+    found = metrics.latency_quantiles(metrics.merged_sketches(spark.read.parquet(folder), ["event_type"]), ranks)
+    asked = found.select("event_type", F.posexplode("latency").alias("k", "x")).withColumn("q", F.element_at(F.array(*[F.lit(q) for q in ranks]), F.col("k") + 1))
+    below = e.join(F.broadcast(asked), "event_type").groupBy("event_type", "q").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("value") < F.col("x")).cast("int")).alias("low"), F.avg((F.col("value") <= F.col("x")).cast("int")).alias("high"))
+    within = (F.col("low") <= F.col("q") + metrics.RANK_ERROR) & (F.col("high") >= F.col("q") - metrics.RANK_ERROR)
+    return below.select("event_type", "n", "q", within.alias("within"))
+
+
+@query(VIEW + "SELECT user_id, ut, op <> 'd' AS live FROM w1 WHERE user_id NOT IN (SELECT user_id FROM a WHERE action NOT LIKE 'skip%') UNION ALL SELECT user_id, ut, action IN ('insert', 'update') FROM a WHERE action NOT LIKE 'skip%'")
+def bucketed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index that two merges leave in its buckets, which a batch's rows come to."""
+    index = BucketedIndex(Store(spark, new_path(spark, "store")), KEYS, buckets=8)
+    for k, batch in enumerate(batches(spark, sf_dir)):
+        index.merge(batch, batch_id=f"b{k}")
+    return index.read().select("user_id", "ut", "live")
+
+
+@query(VIEW + "SELECT user_id, ut, seq, action FROM a")
+def bucketed_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second batch does to an index in buckets; merged once more, nothing."""
+    index = BucketedIndex(Store(spark, new_path(spark, "store")), KEYS, buckets=8)
+    one, two = batches(spark, sf_dir)
+    index.merge(one, batch_id="b1")
+    acted = index.merge(two, batch_id="b2")
+    return acted.unionByName(index.merge(two, batch_id="b2")).select("user_id", "ut", "seq", "action")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 2 AND 4")
 def pruned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A predicate on partition columns reads the folders that it chooses alone."""
