@@ -26,6 +26,8 @@ from cdclake.llm.common import forget, join_counted, materialise
 WORDS, THRESHOLD = 5, 0.8
 COORDINATES = 64
 PICKS, RECALL = 2, 0.9999
+#: Bytes of a text that are hashed at a time.
+BLOCK = 1 << 20
 #: Sets that one task compares with each other at a time; larger buckets split.
 BUCKET = 512
 DEPTH = 5
@@ -71,16 +73,30 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each word between ASCII white space."""
-    b = np.frombuffer((text or "").encode(), np.uint8)
-    word = (b != 32) & ((b < 9) | (b > 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False]))))
-    if not len(edge):
-        return np.empty(0, np.uint64)
-    start, stop = edge[::2], edge[1::2]
-    up, down = powers(len(b) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[b] * up[: len(b)], dtype=np.uint64)))
-    return mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
+    """A 64-bit hash of each word between ASCII white space: block by block, a word that goes on in the next one too."""
+    data = (text or "").encode()
+    out, open_sum, open_length = [], np.uint64(0), 0  # of a word that the last block didn't end
+    for at in range(0, len(data), BLOCK):
+        b = np.frombuffer(data, np.uint8, min(BLOCK, len(data) - at), at)
+        word = (b != 32) & ((b < 9) | (b > 13))
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False]))))
+        start, stop = edge[::2], edge[1::2]
+        up, down = powers(len(b) + 1)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[b] * up[: len(b)], dtype=np.uint64)))
+        sums, sizes = (total[stop] - total[start]) * down[start], (stop - start).astype(np.uint64)
+        if open_length and word[0]:
+            sums[:1] = sums[:1] * np.uint64(pow(BASE, open_length, 1 << 64)) + open_sum
+            sizes[0] += np.uint64(open_length)
+        elif open_length:
+            sums, sizes = np.append(open_sum, sums), np.append(np.uint64(open_length), sizes)
+        open_sum, open_length = np.uint64(0), 0
+        if word[-1]:
+            open_sum, open_length = sums[-1], int(sizes[-1])
+            sums, sizes = sums[:-1], sizes[:-1]
+        out.append(mixed(sums + sizes))
+    if open_length:
+        out.append(mixed(np.array([open_sum], np.uint64) + np.uint64(open_length)))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:

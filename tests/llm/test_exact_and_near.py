@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -165,3 +168,23 @@ def test_near_duplicates_empty(spark):
 
 def test_repeated_runs_reach_the_recall():
     assert J.runs() >= 3
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 64])
+def test_words_across_blocks(monkeypatch, block):
+    rng = random.Random(block)
+    texts = ["".join(rng.choice("ab \u00e9\t\n \u4e2d") for _ in range(rng.randrange(80))) for _ in range(300)]
+    whole = [J.word_hashes(t).tolist() for t in texts]
+    monkeypatch.setattr(J, "BLOCK", block)
+    assert [J.word_hashes(t).tolist() for t in texts] == whole
+    assert all(len(w) == len(t.split()) for w, t in zip(whole, texts, strict=True))
+
+
+def test_memory_of_a_long_text():
+    """50 MB, once as words and once as a single one, below 1 GB."""
+    run = "import resource; import cdclake.llm.jaccard_join as J; from cdclake.llm.importance import buckets; "
+    run += "a = J.shingle_set('lorem ipsum dolor ' * 2_900_000); b = J.shingle_set('x' * 50_000_000); c = buckets('lorem ipsum dolor ' * 2_900_000); "
+    run += "print(len(a), len(b), len(c), max(map(len, J._powers)), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"
+    out = subprocess.run([sys.executable, "-c", run], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__)))).stdout
+    shingles, one, words, powers, megabytes = map(int, out.split()[-5:])
+    assert (shingles, one, words) == (3, 1, 2 * 8_700_000 - 1) and powers <= 4 * J.BLOCK and megabytes < 1000
