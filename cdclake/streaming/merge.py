@@ -67,7 +67,8 @@ def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
     Partitions that no applied row touches, before or after, aren't read and keep their files, as do parts of the
     index that no key of the batch falls into; a store without partition columns has its rows rewritten whole. Marks
     are kept for the table and for each partition. A batch that is in the store already changes nothing. If another
-    writer commits first, the merge is worked out again on its snapshot.
+    writer commits first, the merge goes on top of that where they touched different partitions and parts of the index,
+    else it is worked out again on that snapshot.
 
     The table's columns are those of all its batches: a new one is null in older rows, one that a batch lacks is null
     in the rows that it brings, and numbers get the wider type. Types that don't go together fail the merge.
@@ -122,11 +123,12 @@ def _merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
             target = empty.select(*values) if table not in base["tables"] else store.read(table, base=base, only=touched)
             after, new_index = apply(target, index, acted, keys, by, values)
             tables = {table: after, "index": with_bucket(new_index, store, keys)}
-            tables["marks"] = high_water_marks(acted, [], store.read("marks", base=base), policy)
+            # marks only rise, so those of commits in between are taken in
+            again = {"marks": lambda m: high_water_marks(acted, [], store.read("marks", base=m), policy)}
             if by:
-                tables["partition_marks"] = high_water_marks(acted, by, store.read("partition_marks", base=base), policy)
+                again["partition_marks"] = lambda m: high_water_marks(acted, by, store.read("partition_marks", base=m), policy)
             parts = {"index": bucket_keys(hit)} | ({table: touched} if by else {})
-            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys} | ({table: keys} if by else {}))
+            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys} | ({table: keys} if by else {}), again=again)
         except Conflict:
             if attempt == ATTEMPTS - 1:
                 raise
