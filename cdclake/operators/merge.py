@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cdclake.operators.envelope import CREATE, DELETE, UPDATE
@@ -111,10 +111,24 @@ def insert_if_absent(rows: DataFrame, index: DataFrame, keys: list[str]) -> Data
     return rows.join(sifted(index.select(*keys), rows, keys), keys, "left_anti")
 
 
+#: What counters() counts.
+COUNTED = ("insert", "update", "delete", "skip_create", "skip_late", "skip_missing")
+
+
+def counted_as() -> Column:
+    """An update that inserts counts as an update, as does its tombstone as a delete."""
+    return F.when(F.col("action") == "tombstone", "delete").when((F.col("action") == "insert") & (F.col("op") == UPDATE), "update").otherwise(F.col("action"))
+
+
 def counters(acted: DataFrame) -> DataFrame:
-    """(action, n). An update that inserts counts as an update, as does its tombstone as a delete."""
-    counted = F.when(F.col("action") == "tombstone", "delete").when((F.col("action") == "insert") & (F.col("op") == UPDATE), "update").otherwise(F.col("action"))
-    return acted.groupBy(counted.alias("action")).agg(F.count(F.lit(1)).alias("n"))
+    """(action, n); see counted_as."""
+    return acted.groupBy(counted_as().alias("action")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def observed(acted: DataFrame) -> tuple[DataFrame, Observation]:
+    """acted, and an observation of its counters, made by the first job that reads the frame as it goes by."""
+    seen = Observation()
+    return acted.observe(seen, *[F.count(F.when(counted_as() == name, 1)).alias(name) for name in COUNTED]), seen
 
 
 APPLIED = ("insert", "update", "delete", "tombstone")

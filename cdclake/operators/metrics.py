@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def merge_counters(spark: SparkSession, manifest: dict, db: str) -> DataFrame:
+    """(db, table, action, n) of all merges into a store's tables, from its manifest."""
+    rows = [(db, table, action, n) for table, own in manifest.get("counters", {}).items() for action, n in own.items()]
+    return spark.createDataFrame(rows, "db string, table string, action string, n long")
+
+
 def operation_metrics(rows: DataFrame, by: list[str], latency: str | None = None) -> DataFrame:
     """Rows for each label combination, with quantiles of a latency column where one is given."""
     extra = [F.percentile_approx(latency, [0.5, 0.9, 0.99]).alias("latency")] if latency else []

@@ -404,6 +404,17 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("rows").select("user_id", "ut", "value")
 
 
+@query(VIEW + """, b AS (SELECT CASE op WHEN 'c' THEN 'insert' WHEN 'd' THEN 'delete' ELSE 'update' END AS action FROM w1
+UNION ALL SELECT CASE WHEN action = 'tombstone' THEN 'delete' WHEN action = 'insert' AND op = 'u' THEN 'update' ELSE action END FROM a)
+SELECT 'shop' AS db, 'rows' AS "table", action, count(*) AS n FROM b GROUP BY action""")
+def observed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two merges did, counted as their rows went by and kept with the snapshot."""
+    store = Store(spark, new_path(spark, "store"), ["p_m"], index_buckets=4)
+    for batch in batches(spark, sf_dir):
+        merge_batch(store, _partitioned(batch), KEYS)
+    return metrics.merge_counters(spark, store.manifest(), "shop")
+
+
 @query(VIEW + """
 SELECT user_id, ut, value, NULL::DOUBLE AS twice FROM w1 WHERE op <> 'd' AND user_id NOT IN (SELECT user_id FROM a WHERE action IN ('update', 'delete'))
 UNION ALL SELECT user_id, ut, value, value * 2 FROM a WHERE action IN ('insert', 'update')""")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cdclake.operators.merge import APPLIED, COMBINED, DataDelayed, Policy, actions, apply, high_water_marks, index_of, missing_keys
+from cdclake.operators.merge import APPLIED, COMBINED, DataDelayed, Policy, actions, apply, high_water_marks, index_of, missing_keys, observed
 from cdclake.operators.tasks import DELAY_HOURS, MOST_ATTEMPTS
 from cdclake.sources.store import BUCKET, Conflict, Store, part_keys
 
@@ -66,7 +66,7 @@ def merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
 
     Partitions that no applied row touches, before or after, aren't read and keep their files, as do parts of the
     index that no key of the batch falls into; a store without partition columns has its rows rewritten whole. Marks
-    are kept for the table and for each partition. A batch that is in the store already changes nothing. If another
+    are kept for the table and for each partition, counters of the actions in the manifest. A batch that is in the store already changes nothing. If another
     writer commits first, the merge goes on top of that where they touched different partitions and parts of the index,
     else it is worked out again on that snapshot.
 
@@ -123,12 +123,20 @@ def _merge_batch(store: Store, batch: DataFrame, keys: list[str], policy: Policy
             target = empty.select(*values) if table not in base["tables"] else store.read(table, base=base, only=touched)
             after, new_index = apply(target, index, acted, keys, by, values)
             tables = {table: after, "index": with_bucket(new_index, store, keys)}
+            seen = []
+
+            def marks(m: dict) -> DataFrame:
+                # counters are seen as the actions go by, without a job of their own
+                frame, observation = observed(acted)
+                seen.append(observation)
+                return high_water_marks(frame, [], store.read("marks", base=m), policy)
+
             # marks only rise, so those of commits in between are taken in
-            again = {"marks": lambda m: high_water_marks(acted, [], store.read("marks", base=m), policy)}
+            again = {"marks": marks}
             if by:
                 again["partition_marks"] = lambda m: high_water_marks(acted, by, store.read("partition_marks", base=m), policy)
             parts = {"index": bucket_keys(hit)} | ({table: touched} if by else {})
-            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys} | ({table: keys} if by else {}), again=again)
+            return store.commit(tables, parts, batch_id, base, by={"index": [BUCKET]}, sort={"index": keys} | ({table: keys} if by else {}), again=again, counts=lambda: {table: {k: n for k, n in seen[-1].get.items() if n}})
         except Conflict:
             if attempt == ATTEMPTS - 1:
                 raise

@@ -101,3 +101,29 @@ def test_whole_tables_still_conflict(spark, store):
     store.commit({"other": spark.range(1)})
     with pytest.raises(Conflict):
         store.commit({"third": spark.range(1)}, base=base)
+
+
+def test_counters_take_no_job_of_their_own(spark, monkeypatch):
+    def run():
+        store = Store(spark, new_path(spark, "counters"), ["p"], index_buckets=4)
+        scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+        merge_batch(store, batch(spark, [(k, "cud"[k % 3], 2, k, 0) for k in range(30)]), ["id"])
+        before = scheduler.numTotalJobs()
+        merge_batch(store, batch(spark, [(k, "cud"[k % 3], 1 + k % 2, k, 0) for k in range(20, 50)]), ["id"])
+        return store, scheduler.numTotalJobs() - before
+
+    store, jobs = run()
+    assert store.manifest()["counters"]["rows"] == {"insert": 17, "update": 18, "delete": 18, "skip_create": 3, "skip_late": 4}
+
+    class Nothing:
+        get = {}
+
+    monkeypatch.setattr(merge, "observed", lambda acted: (acted, Nothing))
+    assert run()[1] == jobs
+
+
+def test_counters_of_writers_add_up(spark, store):
+    a, b = apart(spark, store)
+    first = Between(spark, store.root, ["p"], index_buckets=64, other=lambda: merge_batch(store, batch(spark, [(b, "u", 9, 1, 1)]), ["id"]))
+    merge_batch(first, batch(spark, [(a, "u", 7, 1, 0)]), ["id"])
+    assert store.manifest()["counters"]["rows"] == {"insert": 40, "update": 2}
