@@ -34,7 +34,7 @@ TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122
 SAMPLE, OF_ROW, VOCABULARY, LEVELS = 4096, 128, 8192, 6
 ROUNDS = 8
 #: Documents of a shard, and what a task arranges at a time: documents, bytes.
-SHARD, ARRANGED, ARRANGED_BYTES = 2048, 8192, 64 << 20
+SHARD, ARRANGED, ARRANGED_BYTES = 2048, 4096, 16 << 20
 #: Queries that are searched at a time have at most so many terms times queries.
 MATRIX = 8_000_000
 #: Shards that a query visits in the first round; each further round visits MORE times as many.
@@ -207,10 +207,13 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
             t = pa.Table.from_batches(held)
             n = t.column("n").to_numpy()
             m = lengths(n, number, length)
-            words = [x.split(b" ") for x in t.column("terms").to_pylist()]
-            first = np.cumsum([0, *map(len, words)])
-            coded = pc.dictionary_encode(pa.array([w for own in words for w in own], pa.binary()))
-            code, tf = coded.indices.to_numpy().astype(np.int64), np.frombuffer(b"".join(t.column("tfs").to_pylist()), "<u4")
+            tf = np.frombuffer(b"".join(t.column("tfs").to_pylist()), "<u4")
+            first = np.cumsum([0, *(len(x) // 4 for x in t.column("tfs").to_pylist())])
+            data = b" ".join(t.column("terms").to_pylist()) + b" "  # each term with a space behind it
+            edges = np.concatenate(([0], np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1)).astype(np.int32)
+            coded = pc.dictionary_encode(pa.BinaryArray.from_buffers(pa.binary(), len(tf), [None, pa.py_buffer(edges), pa.py_buffer(data)]))
+            names = pc.utf8_rtrim(coded.dictionary.cast(pa.string()), " ")
+            code = coded.indices.to_numpy()
             often = np.bincount(code) > 1  # a term of one document brings none together
             shared = often[code]
             number_before = np.concatenate(([0], np.cumsum(shared)))
@@ -220,7 +223,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
                 at = np.repeat(np.arange(len(rows)), np.diff(np.append(starts, len(own))))
                 order = np.argsort(own, kind="stable")
                 own, own_tf, at = own[order], own_tf[order], at[order]
-                cut = np.flatnonzero(np.diff(own, prepend=-1))
+                cut = np.flatnonzero(np.diff(own, prepend=np.int32(-1)))
                 edges = np.append(cut, len(own)).astype(np.int32)
                 wide = own_tf.astype(np.int64)
                 best = np.maximum.reduceat(1_000_000_000 * wide // (1000 * wide + 8 * m[rows][at]), cut)
@@ -230,7 +233,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
                 ids = pa.concat_arrays([pa.nulls(len(cut), pa.list_(ids.type)), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)])
                 made += 1
                 yield pa.RecordBatch.from_arrays(
-                    [shard, pa.concat_arrays([coded.dictionary.take(pa.array(own[cut])).cast(pa.string()), none.cast(pa.string())]), listed(at.astype("<u2"), 2), listed(own_tf.astype("<u4"), 4), pa.concat_arrays([pa.array(best), none.cast(pa.int64())]), ids, pa.array([None] * len(cut) + [n[rows].astype("<i8").tobytes()], pa.binary())],
+                    [shard, pa.concat_arrays([names.take(pa.array(own[cut])), none.cast(pa.string())]), listed(at.astype("<u2"), 2), listed(own_tf.astype("<u4"), 4), pa.concat_arrays([pa.array(best), none.cast(pa.int64())]), ids, pa.array([None] * len(cut) + [n[rows].astype("<i8").tobytes()], pa.binary())],
                     ["shard", "term", "at", "tf", "best", "ids", "n"],
                 )
 
