@@ -19,6 +19,7 @@ from cdclake.sources import files
 from cdclake.sources.bucketed import BucketedIndex
 from cdclake.sources.shared import new_path
 from cdclake.sources.store import Store
+from cdclake.streaming.marks import marks_stream
 from cdclake.streaming.merge import merge_batch, merge_stream
 from cdclake.streaming.state import flushed, live_rows, run_available, versioned
 from cdclake.streaming.tasks import consume, publish
@@ -466,6 +467,21 @@ def streaming_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(spark, sf_dir).select("user_id", F.when(in_first, 1).otherwise(2).alias("batch"), "action", "ut")
 
 
+@query(VIEW + f""", p AS (SELECT month(make_timestamp(ut * 1000))::INT AS p_m, day(make_timestamp(ut * 1000))::INT AS p_d, ut FROM a WHERE {APPLIED} UNION ALL SELECT month(make_timestamp(ut * 1000))::INT, day(make_timestamp(ut * 1000))::INT, ut FROM w1)
+SELECT p_m, p_d, max(ut) AS mark FROM p GROUP BY ALL""")
+def streaming_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks by day of the changes that a stream makes, in four starts of it; the changes of the first come once more, late."""
+    folder, store = new_path(spark, "marks"), Store(spark, new_path(spark, "marks-store"))
+    changes = _changes(spark, sf_dir)
+    at = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=F.col("ut") / 1000)
+    dated = changes.withColumns({"p_m": F.month(at), "p_d": F.dayofmonth(at)})
+    for part in (0, 1, 2, 0):
+        dated.where(F.pmod("seq", F.lit(3)) == part).write.mode("append").parquet(f"{folder}/staged")
+        stream = files.staged_stream(spark, f"{folder}/staged", dated.schema)
+        marks_stream(stream, store, ["p_m", "p_d"], f"{folder}/checkpoint", late="60 days").awaitTermination()
+    return store.read("stream_marks").select("p_m", "p_d", "mark")
+
+
 @query(
     """WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY event_type ORDER BY epoch_ms(ts), event_id) AS i FROM events),
 n AS (SELECT a.event_type, a.i, least(a.i + 50, (SELECT count(*) + 1 FROM e b WHERE b.event_type = a.event_type AND b.at < a.at + 86400000)) AS next FROM e a),

@@ -10,6 +10,8 @@ from pyspark.errors import StreamingQueryException
 from cdclake.operators import merge as m
 from cdclake.sources.files import staged_stream
 from cdclake.sources.shared import new_path
+from cdclake.sources.store import Store
+from cdclake.streaming.marks import marks_stream, raise_marks
 from cdclake.streaming.state import action_of, flushed, live_rows, run_available, versioned
 
 CHANGES = "k long, op string, ut long, seq long, v string"
@@ -81,3 +83,24 @@ def test_files_age_and_fill(spark):
     expected = {"a": [0, 0, 0, 1, 1, 2, 2, 3, 3], "b": [0, 0, 1, 1, 2, 3], "c": [0]}
     assert run([]) == expected
     assert run([5, 20, 35]) == expected
+
+
+def test_marks_never_go_back(spark):
+    """Late and repeated micro-batches, a restart, and changes that the watermark has passed."""
+    day = 86_400_000
+    store, folder = Store(spark, new_path(spark, "marks")), new_path(spark, "marks-stream")
+    schema = "p int, ut long, action string"
+
+    def run(*rows):
+        spark.createDataFrame(list(rows), schema).write.mode("append").parquet(f"{folder}/in")
+        stream = staged_stream(spark, f"{folder}/in", spark.createDataFrame([], schema).schema)
+        marks_stream(stream, store, ["p"], f"{folder}/checkpoint", late="2 days").awaitTermination()
+        return {r.p: r.mark for r in store.read("stream_marks").collect()}
+
+    assert run((1, 10 * day, "insert"), (2, 10 * day + 5, "update"), (2, 11 * day, "skip_late"), (None, 9 * day, "tombstone")) == {1: 10 * day, 2: 10 * day + 5, None: 9 * day}
+    assert run((1, 9 * day, "update"), (2, 10 * day + 5, "update")) == {1: 10 * day, 2: 10 * day + 5, None: 9 * day}
+    assert run((1, 20 * day, "delete"), (3, day, "insert"))[1] == 20 * day
+    assert run((1, 2 * day, "insert"), (2, 19 * day, "insert")) | {3: 0} == {1: 20 * day, 2: 19 * day, None: 9 * day, 3: 0}
+    version = raise_marks(store, spark.createDataFrame([(1, 5)], "p int, mark long"), ["p"], "again")
+    assert raise_marks(store, spark.createDataFrame([(1, 99 * day)], "p int, mark long"), ["p"], "again") == version
+    assert store.read("stream_marks").where("p = 1").first().mark == 20 * day
