@@ -15,6 +15,7 @@ from cdclake import functions as fn
 from cdclake.operators import merge as m
 from cdclake.operators import ddl, marks, metrics, repair, tasks
 from cdclake.operators.envelope import flatten, operation, partitioned, source_database
+from cdclake.operators.flush import flushed_batch
 from cdclake.sources import files
 from cdclake.sources.bucketed import BucketedIndex
 from cdclake.sources.shared import new_path
@@ -482,12 +483,13 @@ def streaming_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("stream_marks").select("p_m", "p_d", "mark")
 
 
-@query(
-    """WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY event_type ORDER BY epoch_ms(ts), event_id) AS i FROM events),
+FILES_SQL = """WITH RECURSIVE e AS (SELECT event_id, event_type, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY event_type ORDER BY epoch_ms(ts), event_id) AS i FROM events),
 n AS (SELECT a.event_type, a.i, least(a.i + 50, (SELECT count(*) + 1 FROM e b WHERE b.event_type = a.event_type AND b.at < a.at + 86400000)) AS next FROM e a),
 f AS (SELECT event_type, 1::BIGINT AS i, 0::BIGINT AS file FROM e GROUP BY 1 UNION ALL SELECT event_type, n.next, file + 1 FROM f JOIN n USING (event_type, i) WHERE n.next <= (SELECT count(*) FROM e x WHERE x.event_type = f.event_type))
 SELECT e.event_id, e.event_type, f.file FROM e ASOF JOIN f ON e.event_type = f.event_type AND e.i >= f.i"""
-)
+
+
+@query(FILES_SQL)
 def flushed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's file, of one writer for each type: 50 rows or a day at most. Days come in three starts of the stream."""
     folder, e = new_path(spark, "flushes"), table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
@@ -499,6 +501,13 @@ def flushed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/files").select("event_id", "event_type", "file")
 
 
+@query(FILES_SQL)
+def flushed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, of the whole table at once."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return flushed_batch(e, ["event_type"], "ts", "event_id", most_rows=50, minutes=24 * 60).select("event_id", "event_type", "file")
+
+
 @query(STATE_SQL)
 def tasks_equal_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each batch published as staged files with tasks, which are then worked through; users are partitions of their own."""

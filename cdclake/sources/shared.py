@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
 
@@ -31,3 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cdclake/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as written to the shared folder: worked out once, whatever reads it."""
+    path = new_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
