@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdclake.functions import partition_predicate
 from cdclake.operators import repair
 from cdclake.operators.merge import index_of
-from cdclake.sources.store import Store
+from cdclake.sources.store import Store, part_keys
 from cdclake.streaming.merge import commit_index, index_table
 
 
@@ -24,15 +23,14 @@ def remove_duplicates(store: Store, keys: list[str], newest: str, predicate: str
     out = {"partitions": found, "backup": base["version"], "version": base["version"]}
     if not found or not execute:
         return out
-    parts = [tuple(r[c] for c in store.by) for r in found]
-    chosen = partition_predicate([dict(zip(store.by, t, strict=True)) for t in parts])
-    rows = store.read(table, predicate=chosen, base=base)
+    parts = part_keys(flagged, store.by)
+    rows = store.read(table, base=base, only=parts)
     order = [F.col(newest).desc(), *[F.col(c) for c in rows.columns if c not in keys and c != newest]]
     fixed = repair.ranked(rows, keys, order).where("rowno = 1").drop("rowno").cache()
     try:
         if not repair.validation(fixed, F.struct(*keys)).first().valid:
             raise RuntimeError("the repaired rows still hold duplicates")
-        others = store.read(table, base=base, predicate=f"not coalesce({chosen}, false)")
+        others = store.read(table, base=base, only=list(base["tables"][table].keys() - set(parts)))
         fresh = index_of(others.unionByName(fixed), keys, store.by)
         if "index" in base["tables"]:
             dead = index_table(store, base, fresh, keys).where("not live")
