@@ -6,7 +6,14 @@ the stream's own state: an entry for each key, tombstones among them, kept by th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import os
+import pickle
+import tempfile
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, islice
+from operator import itemgetter
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -20,6 +27,8 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: A writer's file is closed at so many rows, or so long after its first.
 FILE_ROWS, FILE_MINUTES = 100_000, 5
+#: Rows that a task sorts in memory; more are sorted so many at a time, and merged from its disk, so many runs at once.
+SORT_ROWS, RUNS, READ_ROWS = 20_000, 32, 200
 
 
 def action_of(op: str, ut: int, entry: tuple[int, bool] | None, policy: Policy) -> str:
@@ -103,6 +112,43 @@ def live_rows(changes: DataFrame, keys: list[str]) -> DataFrame:
     return last.where(F.col("_last.action").isin("insert", "update")).select(*keys, *[f"_last.{c}" for c in rest if c not in ("op", "x_ut", "x_live", "action")])
 
 
+def _spilled(rows: Iterable[tuple]) -> BinaryIO:
+    """rows in a file on the task's disk that goes with it."""
+    file, rows = tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None), iter(rows)
+    while some := list(islice(rows, READ_ROWS)):
+        pickle.dump(some, file, pickle.HIGHEST_PROTOCOL)
+    return file
+
+
+def _read(file: BinaryIO) -> Iterator[tuple]:
+    file.seek(0)
+    while True:
+        try:
+            some = pickle.load(file)
+        except EOFError:
+            file.close()
+            return
+        yield from some
+
+
+def in_order(rows: Iterable[tuple], key: Callable[[tuple], object], most: int = SORT_ROWS, runs: int = RUNS) -> Iterator[tuple]:
+    """sorted(rows, key=key), in memory that doesn't grow with the rows."""
+    rows, levels = iter(rows), [[]]  # runs of a level are merged from as many of the one before
+    while part := sorted(islice(rows, most), key=key):
+        if len(part) < most and levels == [[]]:
+            yield from part
+            return
+        levels[0].append(_spilled(part))
+        for k, level in enumerate(levels):
+            if len(level) == runs:
+                longer = _spilled(heapq.merge(*map(_read, level), key=key))
+                level.clear()
+                if k + 1 == len(levels):
+                    levels.append([])
+                levels[k + 1].append(longer)
+    yield from heapq.merge(*map(_read, chain.from_iterable(reversed(levels))), key=key)
+
+
 class Flushes(StatefulProcessor):
     """Each row with the number of the file that its writer puts it into."""
 
@@ -117,20 +163,24 @@ class Flushes(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
         file, number, since = tuple(self.open.get()) if self.open.exists() else (0, 0, None)
         before = since
-        for r in sorted(rows, key=lambda r: (r[self.at], r[self.order])):  # a writer's rows of one micro-batch
-            at = r[self.at]
+        for at, _, *values in in_order(self.placed(rows), itemgetter(0, 1)):  # a writer's rows of one micro-batch
             if number and (number >= self.most_rows or at - since >= self.age):
                 file, number = file + 1, 0
             if not number:
                 since = at
             number += 1
-            yield self.row(*[r[c] for c in self.columns], file)
+            yield self.row(*values, file)
         self.open.update((file, number, since))
         if since != before:
             if before is not None:
                 self.handle.deleteTimer(before + self.age)
             self.handle.registerTimer(since + self.age)
 
+    def placed(self, rows: Iterator[Row]) -> Iterator[tuple]:
+        """Each row's time, its order and its columns."""
+        for r in rows:
+            yield r[self.at], r[self.order], *[r[c] for c in self.columns]
+
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
         """The watermark is past the file's age: the next row opens another, whenever it comes."""
         file, number, since = tuple(self.open.get())
@@ -147,7 +197,7 @@ def flushed(stream: DataFrame, writer: list[str], at: str, order: str, most_rows
 
     A file takes rows in the order of `at` (a timestamp) and `order`, until it has most_rows or a row comes that is
     `minutes` or more after its first. Timers close files whose writer falls silent. A micro-batch's rows of one writer
-    are sorted in one task; those before the watermark, which is `late` behind, drop out.
+    are sorted in one task, SORT_ROWS of them in memory; those before the watermark, which is `late` behind, drop out.
     """
     timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", late)
     marked = timed.withColumn("_ms", F.unix_millis("_at"))
