@@ -513,7 +513,7 @@ def fit(train_texts: DataFrame, voc: Vocabulary) -> Network:
     return net
 
 
-def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", text_col: str = "text", network: bool = True) -> DataFrame:
     """One row for each row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows of docs where train_where holds teach. score is the model's log10 probability of the whole text, its end
@@ -521,22 +521,22 @@ def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", te
     alike to six digits, as sums are of 32-bit numbers in another order. With nothing to learn from, every token is
     unknown. Rows that repeat, or share an id, each count; rows with a null id teach too. A text of any length is scored
     whole, in memory that grows with its tokens. An empty table gives an empty result. Other columns than those named
-    are not read.
+    are not read. network False: all columns but score, which alone needs a network; none is trained or run.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train_where, F.lit(False)).alias("teaches"))
     draw = F.pmod(F.xxhash64(F.lit(5), F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
     train_texts = base.where("teaches").select("text", draw.alias("draw"))
     counts = count(train_texts.select("text"))
     voc = vocabulary(counts)
-    net = fit(train_texts, voc)
+    net = fit(train_texts, voc) if network else None
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast((voc, *voc.tables(), net.flat))
+    sent = context.broadcast((voc, *voc.tables(), net.flat if network else None))
     kind = base.schema["doc_id"].dataType.simpleString()
     floor = np.log10(voc.total + voc.distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, row, within, flat = sent.value
-        net, base_of = Network(flat), np.log10(voc.count + 1) - floor
+        net, base_of = Network(flat) if network else None, np.log10(voc.count + 1) - floor
         for big in batches:
             for b in slices(big, 1, BYTES_EACH):
                 code, edge, words = tokenised(b.column(1))
@@ -546,7 +546,9 @@ def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", te
                 own_row, own = text[~tail], symbol[~tail]
                 known = np.bincount(own_row, minlength=b.num_rows)
                 base = np.bincount(own_row, weights=base_of[own], minlength=b.num_rows)
-                score = log10_of(net, np.split(rows, edge[1:-1])) + np.bincount(own_row, weights=within[own], minlength=b.num_rows)
+                score = np.bincount(own_row, weights=within[own], minlength=b.num_rows)
+                if network:
+                    score += log10_of(net, np.split(rows, edge[1:-1]))
                 ends = np.concatenate(([0], np.cumsum(np.bincount(text[tail], minlength=b.num_rows)))).astype(np.int32)
                 unsure = pa.ListArray.from_arrays(pa.array(ends), words.take(pa.array(code[tail])).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(edge)), pa.array(known), pa.array(base, pa.float64()), pa.array(score, pa.float64()), unsure], ["doc_id", "n_tokens", "known", "base", "score", "tail"])
@@ -570,7 +572,7 @@ def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", te
         F.sum(F.log10(share)).alias("score2"),
     )
     out = scored.drop("tail").join(sums, "row", "left")
-    return out.select(
+    out = out.select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("known2", F.lit(0))).alias("n_known"),
@@ -578,3 +580,4 @@ def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", te
         (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
     )
+    return out if network else out.drop("score")
