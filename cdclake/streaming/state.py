@@ -15,9 +15,12 @@ from itertools import chain, islice
 from operator import itemgetter
 from typing import BinaryIO
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from cdclake.operators.envelope import CREATE, DELETE, UPDATE
@@ -29,6 +32,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 FILE_ROWS, FILE_MINUTES = 100_000, 5
 #: Rows that a task sorts in memory; more are sorted so many at a time, and merged from its disk, so many runs at once.
 SORT_ROWS, RUNS, READ_ROWS = 20_000, 32, 200
+#: Rows that a task sends back at a time.
+SENT_ROWS = 5000
 
 
 def action_of(op: str, ut: int, entry: tuple[int, bool] | None, policy: Policy) -> str:
@@ -150,38 +155,37 @@ def in_order(rows: Iterable[tuple], key: Callable[[tuple], object], most: int =
 
 
 class Flushes(StatefulProcessor):
-    """Each row with the number of the file that its writer puts it into."""
+    """Rows (columns ms, place, packed) with the number of the file that their writer puts them into: packed and file, some at a time."""
 
-    def __init__(self, columns: list[str], at: str, order: str, most_rows: int, minutes: float):
-        self.columns, self.at, self.order, self.most_rows, self.age = columns, at, order, most_rows, int(minutes * 60_000)
-        self.row = Row(*columns, "file")
+    def __init__(self, most_rows: int, minutes: float):
+        self.most_rows, self.age = most_rows, int(minutes * 60_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", "file long, rows long, since long")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         file, number, since = tuple(self.open.get()) if self.open.exists() else (0, 0, None)
         before = since
-        for at, _, *values in in_order(self.placed(rows), itemgetter(0, 1)):  # a writer's rows of one micro-batch
-            if number and (number >= self.most_rows or at - since >= self.age):
-                file, number = file + 1, 0
-            if not number:
-                since = at
-            number += 1
-            yield self.row(*values, file)
+        given = (r for some in rows for r in zip(some["ms"].tolist(), some["place"].tolist(), some["packed"].tolist(), strict=True))
+        ordered = in_order(given, itemgetter(0, 1))  # a writer's rows of one micro-batch
+        while some := list(islice(ordered, SENT_ROWS)):
+            files = []
+            for at, _, _ in some:
+                if number and (number >= self.most_rows or at - since >= self.age):
+                    file, number = file + 1, 0
+                if not number:
+                    since = at
+                number += 1
+                files.append(file)
+            yield pd.DataFrame({"packed": [values for _, _, values in some], "file": files})
         self.open.update((file, number, since))
         if since != before:
             if before is not None:
                 self.handle.deleteTimer(before + self.age)
             self.handle.registerTimer(since + self.age)
 
-    def placed(self, rows: Iterator[Row]) -> Iterator[tuple]:
-        """Each row's time, its order and its columns."""
-        for r in rows:
-            yield r[self.at], r[self.order], *[r[c] for c in self.columns]
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
         """The watermark is past the file's age: the next row opens another, whenever it comes."""
         file, number, since = tuple(self.open.get())
         if number:
@@ -195,14 +199,33 @@ class Flushes(StatefulProcessor):
 def flushed(stream: DataFrame, writer: list[str], at: str, order: str, most_rows: int = FILE_ROWS, minutes: float = FILE_MINUTES, late: str = "0 seconds") -> DataFrame:
     """The rows of a stream with the number, from 0, of the file of their writer (columns writer) that they go into.
 
-    A file takes rows in the order of `at` (a timestamp) and `order`, until it has most_rows or a row comes that is
-    `minutes` or more after its first. Timers close files whose writer falls silent. A micro-batch's rows of one writer
+    A file takes rows in the order of `at` (a timestamp) and `order` (not null), until it has most_rows or a row comes that
+    is `minutes` or more after its first. Timers close files whose writer falls silent. A micro-batch's rows of one writer
     are sorted in one task, SORT_ROWS of them in memory; those before the watermark, which is `late` behind, drop out.
     """
-    timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", late)
-    marked = timed.withColumn("_ms", F.unix_millis("_at"))
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in stream.schema], T.StructField("file", T.LongType())])
-    return marked.groupBy(*writer).transformWithState(Flushes(stream.columns, "_ms", order, most_rows, minutes), schema, "Append", "EventTime")
+    columns = stream.columns
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a row's values travel as they are: through pandas, whole numbers beside nulls would turn into fractions
+        for b in batches:
+            values = zip(*[b.column(c).to_pylist() for c in columns], strict=True)
+            packed = pa.array([pickle.dumps(v, pickle.HIGHEST_PROTOCOL) for v in values], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("_writer", "_at", "_ms", "_order")], packed], sent.names)
+
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+    arrow = to_arrow_schema(schema)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [pickle.loads(v) for v in b.column("packed").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)], b.column("file")], [*columns, "file"])
+
+    whole = F.to_json(F.array(*[F.base64(w) if dict(stream.dtypes)[w] == "binary" else F.col(w).cast("string") for w in writer]))  # nulls are writers too
+    timed = stream.withColumns({"_writer": whole, "_at": F.col(at).cast("timestamp"), "_order": F.col(order)}).withColumn("_ms", F.unix_millis("_at"))
+    sent = T.StructType().add("writer", "string").add("at", "timestamp").add("ms", "long").add("place", schema[order].dataType).add("packed", "binary")
+    marked = timed.mapInArrow(pack, sent).withWatermark("at", late)
+    found = marked.groupBy("writer").transformWithStateInPandas(Flushes(most_rows, minutes), "packed binary, file long", "Append", "EventTime")
+    return found.mapInArrow(unpack, T.StructType([*schema.fields, T.StructField("file", T.LongType())]))
 
 
 def run_available(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
