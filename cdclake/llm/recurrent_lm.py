@@ -548,7 +548,7 @@ def score_texts(docs: DataFrame, train_where: Column, id_col: str = "doc_id", te
                 base = np.bincount(own_row, weights=base_of[own], minlength=b.num_rows)
                 score = np.bincount(own_row, weights=within[own], minlength=b.num_rows)
                 if network:
-                    score += log10_of(net, np.split(rows, edge[1:-1]))
+                    score = score + log10_of(net, np.split(rows, edge[1:-1]))
                 ends = np.concatenate(([0], np.cumsum(np.bincount(text[tail], minlength=b.num_rows)))).astype(np.int32)
                 unsure = pa.ListArray.from_arrays(pa.array(ends), words.take(pa.array(code[tail])).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(edge)), pa.array(known), pa.array(base, pa.float64()), pa.array(score, pa.float64()), unsure], ["doc_id", "n_tokens", "known", "base", "score", "tail"])
