@@ -91,9 +91,9 @@ def own_texts(texts: pa.Array, small: bool = False) -> pa.Array:
 PIECE = 1 << 20
 
 
-def term_pieces(text: str, table: bytes) -> Iterator[list[bytes]]:
+def term_pieces(text: str | bytes, table: bytes) -> Iterator[list[bytes]]:
     """The terms of a text in order, some at a time; table: what bytes.translate() makes of it, spaces between terms."""
-    data = text.encode().translate(table)
+    data = (text.encode() if isinstance(text, str) else text).translate(table)
     at = 0
     while at < len(data):
         stop = data.find(b" ", at + PIECE)

@@ -16,8 +16,8 @@ exact all the same.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cdclake.llm.common import SALTS, forget, join_counted, materialise, term_pieces
+from cdclake.llm.common import SALTS, join_counted, materialise, slices, term_pieces
 
 #: Documents of a language that a term must be in, and ranks of terms that are reported.
 LEAST, RANKS = 3, 200
@@ -34,9 +34,13 @@ LEAST, RANKS = 3, 200
 ROWS, WIDTH, BLOCK = 2, 1 << 26, 1 << 16
 #: Up to so many (language, source) groups are sent to all executors.
 FEW_GROUPS = 100_000
-#: Distinct keys that a task holds before it writes them out.
-HELD = 300_000
+#: Bytes of text whose terms a task counts at once, bytes of counts that it holds, and terms that are Python objects at once.
+COUNTED, HELD, HASHED = 4 << 20, 32 << 20, 100_000
 BILLION = 1_000_000_000
+#: BILLION times a count below this is a 64-bit number.
+WHOLE = 9_000_000_000
+#: Pairs of groups whose sums are held as an array, not sorted.
+CELLS = 1 << 20
 #: What bytes.translate() makes of a text: letters A to Z small, other ASCII characters but a to z into spaces.
 TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -48,35 +52,115 @@ def places(lang: str, terms: list[bytes]) -> np.ndarray:
     return np.stack([h % np.uint64(WIDTH), (h >> np.uint64(32)) % np.uint64(WIDTH)]).astype(np.int64)
 
 
-def rows_of(b: pa.RecordBatch) -> Iterator[tuple]:
-    """(text, lang, source) of a batch, some at a time."""
-    for k in range(0, b.num_rows, 500):
-        yield from zip(*[b.column(c).slice(k, 500).to_pylist() for c in range(3)], strict=True)
+def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The rows of all batches (text, lang, source), with about so many bytes of text at a time, or one row."""
+    held, size = [], 0
+    for b in batches:
+        for part in slices(b, 0, most):
+            own = pc.sum(pc.binary_length(part.column(0))).as_py() or 0
+            if held and size + own > most:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Tally(NamedTuple):
+    """How often terms[code] occurs in each group that has it, and in how many texts; by group and code."""
+
+    terms: pa.Array
+    group: np.ndarray
+    code: np.ndarray
+    n: np.ndarray
+    df: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return self.terms.nbytes + 24 * len(self.n)
+
+
+def tally(terms: pa.Array, group: np.ndarray, code: np.ndarray, n: np.ndarray, df: np.ndarray) -> Tally:
+    """The same numbers, those of a group and code added up."""
+    key = group.astype(np.int64) * max(1, len(terms)) + code
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    if not len(at):
+        return Tally(terms, group, code, n, df)
+    group, code = np.divmod(key[at], len(terms))
+    return Tally(terms, group.astype(np.int32), code.astype(np.int32), np.add.reduceat(n[order], at), np.add.reduceat(df[order], at))
+
+
+def together(parts: list[Tally]) -> Tally:
+    """One tally of several."""
+    every = pa.chunked_array([p.terms for p in parts], pa.binary()).combine_chunks().dictionary_encode()
+    place = np.split(every.indices.to_numpy(), np.cumsum([len(p.terms) for p in parts])[:-1])
+    code = np.concatenate([own[p.code] for own, p in zip(place, parts, strict=True)])
+    return tally(every.dictionary, np.concatenate([p.group for p in parts]), code, np.concatenate([p.n for p in parts]), np.concatenate([p.df for p in parts]))
+
+
+def terms_of(texts: list[bytes]) -> Tally:
+    """The terms of texts, each of which is a group."""
+    data = b" ".join([b"", *texts, b""]).translate(TERMS)
+    inside = np.frombuffer(data, np.uint8) != 32
+    cuts = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # where a term begins or ends, in turn
+    edges = np.zeros(len(cuts) // 2 + 1, np.int32)
+    np.cumsum(cuts[1::2] - cuts[::2], out=edges[1:])
+    first = np.cumsum([1] + [len(t) + 1 for t in texts])
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(cuts[::2], first)))
+    words = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data.translate(None, b" "))]).dictionary_encode()
+    size = max(1, len(words.dictionary))
+    key = text * size + words.indices.to_numpy()
+    key.sort()
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    return Tally(words.dictionary, key[at] // size, key[at] % size, np.diff(at, append=len(key)), np.ones(len(at), np.int64))
+
+
+def terms_of_long(text: bytes) -> Tally:
+    """The same of one text, PIECE bytes at a time."""
+    one = together([terms_of([]), *(terms_of([b" ".join(words)]) for words in term_pieces(text, TERMS))])
+    return one._replace(df=np.ones(len(one.n), np.int64))
+
+
+def tallies(batches: Iterator[pa.RecordBatch], by: list[int]) -> Iterator[tuple[list[tuple], Tally]]:
+    """(groups, tally) of batches (text, lang, source), whose groups are these columns' values."""
+    number: dict[tuple, int] = {}
+    held: list[Tally] = []
+    for block in blocks(batches, COUNTED):
+        texts = block.column(0).cast(pa.large_binary()).to_pylist()
+        own = terms_of_long(texts[0]) if len(texts) == 1 else terms_of(texts)
+        group = np.array([number.setdefault(g, len(number)) for g in zip(*[block.column(c).to_pylist() for c in by], strict=True)])
+        held.append(tally(own.terms, group[own.group], own.code, own.n, own.df))
+        if sum(t.size for t in held) > HELD:
+            held = [together(held)]
+            if held[0].size > HELD // 2:
+                yield list(number), held[0]
+                held, number = [], {}
+    if held:
+        yield list(number), together(held)
+
+
+def by_first(first: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(value, where) of each run in an ascending array; long runs in parts."""
+    at = np.flatnonzero(np.diff(first, prepend=-1))
+    for start, stop in zip(at.tolist(), [*at[1:].tolist(), len(first)], strict=True):
+        for k in range(start, stop, HASHED):
+            yield int(first[k]), slice(k, min(stop, k + HASHED))
 
 
 def sketches(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(block, places, counts) of the counters that a task's documents reach."""
         counters = np.zeros((ROWS, WIDTH), np.uint8)  # memory is taken where it is touched
-        found: dict[str, Counter] = defaultdict(Counter)
-
-        def put() -> None:
-            for lang, own in found.items():
-                often = np.minimum(np.fromiter(own.values(), np.int64, len(own)), least)
-                for r, at in enumerate(places(lang, list(own))):
+        for langs, t in tallies(batches, [1]):
+            df = np.minimum(t.df, least)
+            for k, own in by_first(t.group):
+                for r, at in enumerate(places(langs[k][0], t.terms.take(pa.array(t.code[own])).to_pylist())):
                     unique, inverse = np.unique(at, return_inverse=True)
-                    counters[r, unique] = np.minimum(counters[r, unique] + np.bincount(inverse, often).astype(np.int64), least)
-            found.clear()
-
-        for b in batches:
-            for text, lang, _ in rows_of(b):
-                own: set[bytes] = set()
-                for words in term_pieces(text, TERMS):
-                    own.update(words)
-                found[lang].update(own)
-                if sum(map(len, found.values())) > HELD:
-                    put()
-        put()
+                    counters[r, unique] = np.minimum(counters[r, unique] + np.bincount(inverse, df[own]).astype(np.int64), least)
+            del t
         for r in range(ROWS):
             at = np.flatnonzero(counters[r])
             block = at // BLOCK
@@ -117,42 +201,33 @@ def counted(docs: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
-        n: dict[tuple, Counter] = defaultdict(Counter)
-        df: dict[tuple, Counter] = defaultdict(Counter)
-
-        def put() -> Iterator[pa.RecordBatch]:
-            for (lang, source), own in n.items():
-                terms = list(own)
-                through = np.ones(len(terms), bool)
-                for r, at in enumerate(places(lang, terms)):
-                    through &= (bits[r, at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-                terms = [t for t, ok in zip(terms, through, strict=True) if ok]
-                if terms:
-                    docs_of = df[lang, source]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array(terms, pa.binary()).cast(pa.string()), pa.array([own[t] for t in terms], pa.int64()), pa.array([docs_of[t] for t in terms], pa.int64())],
-                        ["lang", "source", "term", "n", "df"],
-                    )
-            n.clear(), df.clear()
-
-        for b in batches:
-            for text, lang, source in rows_of(b):
-                own: set[bytes] = set()
-                for words in term_pieces(text, TERMS):
-                    n[lang, source].update(words)
-                    own.update(words)
-                df[lang, source].update(own)
-                if sum(map(len, n.values())) > HELD:
-                    yield from put()
-        yield from put()
+        for groups, t in tallies(batches, [1, 2]):
+            langs: dict[str, int] = {}
+            lang = np.array([langs.setdefault(g[0], len(langs)) for g in groups], np.int64)
+            names = list(langs)
+            key, place = np.unique(lang[t.group] * max(1, len(t.terms)) + t.code, return_inverse=True)  # a term of several sources is looked up once
+            lang, code = np.divmod(key, max(1, len(t.terms)))
+            through = np.ones(len(key), bool)
+            for k, own in by_first(lang):
+                for r, at in enumerate(places(names[k], t.terms.take(pa.array(code[own])).to_pylist())):
+                    through[own] &= (bits[r, at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            stays = np.flatnonzero(through[place])
+            columns = [pa.array(own, pa.string()) for own in zip(*groups, strict=True)]
+            for k in range(0, len(stays), HASHED):
+                at = stays[k : k + HASHED]
+                own = [*(x.take(pa.array(t.group[at])) for x in columns), t.terms.take(pa.array(t.code[at])).cast(pa.string()), pa.array(t.n[at]), pa.array(t.df[at])]
+                yield pa.RecordBatch.from_arrays(own, ["lang", "source", "term", "n", "df"])
+            del t, key, code, place, stays
 
     parts = docs.mapInArrow(run, "lang string, source string, term string, n long, df long")
+    parts = parts.repartition("lang", "source", "term")  # a task's rows are counted already: no aggregate before the shuffle
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def probability(count: str, total: str, terms: str) -> Column:
     """1 + floor(BILLION * (count + 1) / (total + terms)) of these columns; null where there is no term."""
-    return F.expr(f"case when {terms} > 0 then 1 + (cast({BILLION} as decimal(10,0)) * cast({count} + 1 as decimal(19,0))) div cast({total} + {terms} as decimal(20,0)) end")
+    exact = f"(cast({BILLION} as decimal(10,0)) * cast({count} + 1 as decimal(19,0))) div cast({total} + {terms} as decimal(20,0))"
+    return F.expr(f"case when {terms} > 0 then 1 + case when {count} < {WHOLE} then ({BILLION} * cast({count} + 1 as bigint)) div ({total} + {terms}) else {exact} end end")
 
 
 def deviation(p: str, q: str) -> str:
@@ -160,6 +235,14 @@ def deviation(p: str, q: str) -> str:
     return f"((({p}) - ({q})) * (({p}) - ({q}))) div ({q})"
 
 
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, and the sum of each one's values."""
+    keys, inverse = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, inverse, values)
+    return keys, total
+
+
 def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, item, value) from terms (lang, own: a list of source, p and z): what each two groups that share terms add to their values."""
 
@@ -179,19 +262,28 @@ def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.repeat(np.cumsum(sizes) - sizes, sizes)
             size, lang = np.repeat(sizes, sizes), np.repeat(langs.indices.to_numpy().astype(np.int64), sizes)
             place = np.arange(len(p)) - first
+            cells = len(langs.dictionary) * number * number
+            dense, hit = (np.zeros(cells, np.int64), np.zeros(cells, bool)) if cells <= CELLS else (None, None)
             keys, values = [], []
             for step in range(1, int(sizes.max(initial=0))):
                 i = np.flatnonzero(size > step)
                 j = first[i] + (place[i] + step) % size[i]  # each ordered pair of a term's groups once
                 value = f(p[i], p[j]) - f(p[i], z[j]) - f(z[i], p[j]) + f(z[i], z[j])
-                key, inverse = np.unique((lang[i] * number + source[i]) * number + source[j], return_inverse=True)
-                total = np.zeros(len(key), np.int64)
-                np.add.at(total, inverse, value)
-                keys.append(key), values.append(total)
-            if keys:
-                key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-                total = np.zeros(len(key), np.int64)
-                np.add.at(total, inverse, np.concatenate(values))
+                key = (lang[i] * number + source[i]) * number + source[j]
+                if dense is None:
+                    key, total = summed(key, value)
+                    keys.append(key), values.append(total)
+                else:
+                    np.add.at(dense, key, value)
+                    hit[key] = True
+            if dense is not None:
+                key = np.flatnonzero(hit)
+                total = dense[key]
+            elif keys:
+                key, total = summed(np.concatenate(keys), np.concatenate(values))
+            else:
+                continue
+            if len(key):
                 take = lambda dictionary, at: dictionary.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([take(langs.dictionary, key // number // number), take(sources.dictionary, key // number % number), take(sources.dictionary, key % number), pa.array(total)], ["lang", "source", "item", "value"])
 
@@ -220,10 +312,8 @@ def divergence(docs: DataFrame, least: int = LEAST, ranks: int = RANKS, text_col
     columns are not read.
     """
     base = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))])
-    exact = materialise(counted(base, least), "audit-counted")
-    kept = exact.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("own")).where(F.col("df") >= least)
+    kept = counted(base, least).groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("own")).where(F.col("df") >= least)
     kept = materialise(kept.select("lang", "term", "total", "own"), "audit-kept")  # a term's sources are one row
-    forget(exact)
     entries = kept.select("lang", "term", "total", F.explode("own").alias("o")).select("lang", "term", "total", "o.source", "o.n")
     sums = entries.groupBy("lang", "source").agg(F.sum("n").alias("n_group"), F.count(F.lit(1)).alias("terms"))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("n_lang"))

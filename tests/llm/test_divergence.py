@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import cdclake.llm.divergence as D
@@ -69,3 +70,67 @@ def test_pieces_of_long_texts():
     text = "Abc é, " * 400_000
     found = collections.Counter(w for own in term_pieces(text, D.TERMS) for w in own)
     assert found == {b"abc": 400_000, "é".encode(): 400_000}
+
+
+@pytest.mark.parametrize(("counted", "held"), [(1 << 20, 1 << 20), (200, 1 << 20), (1, 3000), (1, 1)])
+def test_tallies(monkeypatch, counted, held):
+    monkeypatch.setattr(D, "COUNTED", counted)
+    monkeypatch.setattr(D, "HELD", held)
+    monkeypatch.setattr("cdclake.llm.common.PIECE", 50)
+    rows = [(t or "", lang or "", source or "") for t, lang, source in cases()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows[k : k + 40], strict=True)], ["text", "lang", "source"]) for k in range(0, len(rows), 40)]
+    n, df, blocks = collections.Counter(), collections.Counter(), 0
+    for groups, t in D.tallies(iter(batches), [1, 2]):
+        keys = [(*groups[g], t.terms[int(c)].as_py().decode()) for g, c in zip(t.group, t.code, strict=True)]
+        assert len(set(keys)) == len(keys)
+        n.update(dict(zip(keys, t.n.tolist(), strict=True)))
+        df.update(dict(zip(keys, t.df.tolist(), strict=True)))
+        blocks += 1
+    words = [(lang, source, re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))) for t, lang, source in rows]
+    assert n == collections.Counter((lang, source, w) for lang, source, own in words for w in own)
+    assert df == collections.Counter((lang, source, w) for lang, source, own in words for w in set(own))
+    assert blocks == 1 if held == 1 << 20 else blocks > 3
+    assert list(D.tallies(iter([]), [1])) == []
+
+
+def test_rows_of_a_task_are_counted_once(spark):
+    """What a task sends is counted already: no aggregate runs over it before the shuffle."""
+    docs = spark.createDataFrame([("a b a", "en", f"s{k % 5}") for k in range(30)], "text string, lang string, source string").repartition(2)
+    out = D.counted(docs, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(lang") == 1
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning(lang") :]
+    assert sorted(map(tuple, out.collect())) == [("en", f"s{k}", t, n, 6) for k in range(5) for t, n in (("a", 12), ("b", 6))]
+
+
+def test_pair_sums_held_or_sorted(monkeypatch):
+    rng = random.Random(5)
+    rows = [("en" if k % 3 else "de", [{"source": s, "p": rng.randrange(1, 10**6), "z": 1 + len(s)} for s in rng.sample(["a", "bb", "ccc", "dddd"], rng.randrange(2, 5))]) for k in range(300)]
+    shape = pa.list_(pa.struct([("source", pa.string()), ("p", pa.int64()), ("z", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], shape)], ["lang", "own"])
+    f = lambda p, q: (p - q) ** 2 // q
+    want = collections.Counter()
+    for lang, own in rows:
+        for a in own:
+            for b in own:
+                if a["source"] != b["source"]:
+                    want[lang, a["source"], b["source"]] += f(a["p"], b["p"]) - f(a["p"], b["z"]) - f(a["z"], b["p"]) + f(a["z"], b["z"])
+    for cells in (1 << 20, 0):
+        monkeypatch.setattr(D, "CELLS", cells)
+        got = collections.Counter()
+        for b in D.pair_sums(iter([batch, batch.slice(0, 0)])):
+            for r in b.to_pylist():
+                got[r["lang"], r["source"], r["item"]] += r["value"]
+        assert got == want
+
+
+def test_probability_of_large_counts(spark):
+    rows = [(c, c * 3 + 7, 5) for c in (0, 8_999_999_999, 9_000_000_000, 9_223_372_036, 10**15)] + [(0, 0, 0)]
+    got = spark.createDataFrame(rows, "n long, total long, v long").select(D.probability("n", "total", "v")).collect()
+    assert [r[0] for r in got] == [1 + 10**9 * (n + 1) // (total + v) if v else None for n, total, v in rows]
+
+
+def test_names_that_end_in_nul(spark):
+    rows = [(f"w{chr(97 + k % 9)} x", lang, source) for k in range(40) for lang, source in (("en", "s"), ("en\0", "s"), ("en\0", "s\0"))]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(2)
+    assert sorted(map(tuple, D.divergence(docs).collect())) == brute(rows)
